@@ -240,7 +240,8 @@ lead_base AS (
 
 
 def _with(*ctes: str) -> str:
-    return "WITH " + ",".join([SOURCES, *ctes]) + "\n"
+    kw = "WITH RECURSIVE " if any("greedy(" in c for c in ctes) else "WITH "
+    return kw + ",".join([SOURCES, *ctes]) + "\n"
 
 
 # -- C3 slots -----------------------------------------------------------------
@@ -704,4 +705,161 @@ def queries() -> dict[str, str]:
     q["owner_experience"] = _with(_base_cte(), OWNER_CTE) + "SELECT * FROM owner_exp"
     q["competitor_listings"] = _with(_base_cte(), COMPETITOR_CTE) + "SELECT * FROM competitors"
     q["feature_table"] = _with(*features_latest_ctes()) + "SELECT * FROM features_latest"
+    q.update(scoring_queries())
+    return q
+
+
+# -- scoring and recommendation (M1-M10) ------------------------------------------
+
+
+def _dbl(x: float) -> str:
+    return f"CAST('{float(x)!r}' AS DOUBLE)"
+
+
+def _scoring_ctes() -> list[str]:
+    from renewlens.plans.features import FEATURE_TABLE_COLS
+    from renewlens.plans.scoring import MODEL_FEATURES, synthetic_model
+
+    cols = ", ".join(c for c in FEATURE_TABLE_COLS if c != "feature_creation_date")
+    m = synthetic_model()
+    feats = ", ".join(f"CAST({f} AS DOUBLE) AS {f}" for f in MODEL_FEATURES)
+    scoring_set = f"""
+scoring_set AS (
+  SELECT feature_creation_date AS model_run_date, {cols},
+    CASE WHEN profile_type = 'Broker' THEN 1 ELSE 0 END AS is_broker,
+    seller_tot_packages_previous + 1 AS seller_tot_packages_previous_model,
+    seller_tot_renewal_previous + 1 AS seller_tot_renewal_previous_model,
+    CAST(seller_tot_renewal_previous + 1 AS DOUBLE) / (seller_tot_packages_previous + 1) AS seller_previous_renewal_pct_model
+  FROM features_latest
+)"""
+    scored = f"""
+x AS (SELECT opportunity_id, {feats} FROM scoring_set),
+scored AS (
+  SELECT *, 1.0 / (1.0 + exp(-z)) AS initial_prob
+  FROM (SELECT *, {m.sql_logit()} AS z FROM x) t
+)"""
+    return [scoring_set, scored]
+
+
+def _search_ctes() -> list[str]:
+    from renewlens.plans.recommend import zero_values
+    from renewlens.plans.scoring import synthetic_model
+
+    m = synthetic_model()
+    cfg_rows, step_rows, zero_rows, feat_rows = [], [], [], []
+    for j, (f, lo, up, inc, dec, zi, zm, zs) in enumerate(P.CONTROLLABLE_FEATURES):
+        cfg_rows.append(f"('{f}', {_dbl(1 + lo / 100)}, {_dbl(1 + up / 100)}, {_dbl(zm)})")
+        for k, s in enumerate(inc, 1):
+            step_rows.append(f"('{f}', 'inc', {k}, {_dbl(s)})")
+        for k, s in enumerate(dec, 1):
+            step_rows.append(f"('{f}', 'dec', {k}, {_dbl(s)})")
+        for k, val in enumerate(zero_values(zi, zm, zs), 1):
+            zero_rows.append(f"('{f}', {k}, {_dbl(val)})")
+        w, c = _dbl(m.weight(f)), _dbl(m.center(f))
+        feat_rows.append(
+            f"SELECT opportunity_id, z, initial_prob, '{f}' AS feature, {j} AS ordinal, {f} AS v, {w} AS w, "
+            f"({w} * ({f} - {c})) > 0 AS inc FROM scored WHERE initial_prob < {FP_SEARCH_LOWER}"
+        )
+    union = "\n  UNION ALL ".join(feat_rows)
+    return [
+        f"""
+cfg(feature, lo_f, hi_f, zero_max) AS (VALUES {", ".join(cfg_rows)}),
+steps(feature, dir, pos, step) AS (VALUES {", ".join(step_rows)}),
+zero_steps(feature, pos, val) AS (VALUES {", ".join(zero_rows)}),
+feat_rows AS (
+  {union}
+),
+bounded AS (
+  SELECT *, CASE WHEN lo0 > hi THEN hi ELSE lo0 END AS lo
+  FROM (SELECT f.*, c.zero_max, greatest(f.v * c.lo_f, f.v * 0.25) AS lo0, least(f.v * c.hi_f, f.v * 10.0) AS hi
+        FROM feat_rows f JOIN cfg c ON c.feature = f.feature) t
+),
+cand0 AS (
+  SELECT b.opportunity_id, b.z, b.initial_prob, b.feature, b.ordinal, b.v, b.w,
+    CASE WHEN b.inc THEN 'increase' ELSE 'decrease' END AS direction, b.lo AS lower_bound, b.hi AS upper_bound,
+    st.pos, st.step AS step_size,
+    least(greatest(CASE WHEN b.inc THEN b.v + (st.step / 100.0) * b.v ELSE b.v - (st.step / 100.0) * b.v END, b.lo), b.hi) AS new_value
+  FROM bounded b JOIN steps st ON st.feature = b.feature AND st.dir = CASE WHEN b.inc THEN 'inc' ELSE 'dec' END
+  WHERE b.v <> 0
+  UNION ALL
+  SELECT b.opportunity_id, b.z, b.initial_prob, b.feature, b.ordinal, b.v, b.w, 'increase' AS direction,
+    0.0 AS lower_bound, b.zero_max AS upper_bound, zs.pos, CAST(NULL AS DOUBLE) AS step_size, zs.val AS new_value
+  FROM bounded b JOIN zero_steps zs ON zs.feature = b.feature
+  WHERE b.v = 0
+),
+cands AS (
+  SELECT *, 1.0 / (1.0 + exp(-(z + w * (new_value - v)))) AS prob FROM cand0 WHERE v = 0 OR new_value <> v
+),
+first_step AS (
+  SELECT * FROM (
+    SELECT c.*, row_number() OVER (PARTITION BY opportunity_id, feature ORDER BY pos) AS rn
+    FROM cands c WHERE prob > initial_prob
+  ) t WHERE rn = 1
+),
+ranked AS (
+  SELECT f.*, prob - initial_prob AS lift, w * (new_value - v) AS dz,
+    CASE WHEN v = 0 THEN 100.0 ELSE abs((new_value - v) / v * 100.0) END AS pct_change,
+    row_number() OVER (PARTITION BY opportunity_id ORDER BY prob - initial_prob DESC, ordinal) AS rk
+  FROM first_step f
+)"""
+    ]
+
+
+FP_SEARCH_LOWER = P.LOWER_THRESHOLD
+
+GREEDY_CTE = f"""
+greedy(opportunity_id, i, z, p, done, took, feature) AS (
+  SELECT opportunity_id, 0, z, initial_prob, false, false, CAST(NULL AS VARCHAR) FROM scored WHERE initial_prob < {P.LOWER_THRESHOLD}
+  UNION ALL
+  SELECT g.opportunity_id, g.i + 1,
+    CASE WHEN NOT g.done AND 1.0 / (1.0 + exp(-(g.z + r.dz))) > g.p THEN g.z + r.dz ELSE g.z END,
+    CASE WHEN NOT g.done AND 1.0 / (1.0 + exp(-(g.z + r.dz))) > g.p THEN 1.0 / (1.0 + exp(-(g.z + r.dz))) ELSE g.p END,
+    CASE WHEN NOT g.done AND 1.0 / (1.0 + exp(-(g.z + r.dz))) > g.p
+         THEN (1.0 / (1.0 + exp(-(g.z + r.dz))) >= {P.UPPER_THRESHOLD} OR 1.0 / (1.0 + exp(-(g.z + r.dz))) >= {P.LOWER_THRESHOLD})
+         ELSE g.done END,
+    NOT g.done AND 1.0 / (1.0 + exp(-(g.z + r.dz))) > g.p,
+    r.feature
+  FROM greedy g JOIN ranked r ON r.opportunity_id = g.opportunity_id AND r.rk = g.i + 1
+),
+greedy_final AS (
+  SELECT g.opportunity_id, g.p AS final_p,
+    (SELECT count(*) FROM greedy t WHERE t.opportunity_id = g.opportunity_id AND t.took) AS n_adj,
+    (SELECT coalesce(string_agg(t.feature, ',' ORDER BY t.i), '') FROM greedy t
+      WHERE t.opportunity_id = g.opportunity_id AND t.took) AS applied
+  FROM greedy g
+  WHERE g.i = (SELECT max(i) FROM greedy t WHERE t.opportunity_id = g.opportunity_id)
+)"""
+
+
+def scoring_queries() -> dict[str, str]:
+    base = features_latest_ctes() + _scoring_ctes()
+    r = 9
+    q = {}
+    q["scoring_set"] = _with(*base) + "SELECT * FROM scoring_set"
+    q["score_logistic"] = _with(*base) + f"SELECT opportunity_id, round(initial_prob, {r}) AS initial_prob FROM scored"
+    search = base + _search_ctes()
+    q["adjustment_candidates"] = _with(*search) + f"""
+SELECT opportunity_id, feature, direction, v AS original_value, round(lower_bound, 6) AS lower_bound,
+  round(upper_bound, 6) AS upper_bound, CAST(pos AS INTEGER) AS step_ordinal, step_size,
+  round(new_value, 6) AS new_value, round(prob, {r}) AS probability
+FROM cands"""
+    q["first_beneficial_step"] = _with(*search) + f"""
+SELECT opportunity_id, feature, direction, step_size, v AS original_value, round(new_value, 6) AS new_value,
+  round(prob, {r}) AS probability, round(lift, {r}) AS lift, round(pct_change, 6) AS pct_change,
+  CAST(rk AS INTEGER) AS lift_rank
+FROM ranked"""
+    greedy = search + [GREEDY_CTE]
+    q["recommendation_summary"] = _with(*greedy) + f"""
+SELECT s.opportunity_id, round(s.initial_prob, {r}) AS initial_prob,
+  round(CASE WHEN s.initial_prob >= {P.LOWER_THRESHOLD} OR coalesce(g.n_adj, 0) = 0 THEN s.initial_prob ELSE g.final_p END, {r}) AS final_prob,
+  round(CASE WHEN s.initial_prob >= {P.LOWER_THRESHOLD} OR coalesce(g.n_adj, 0) = 0 THEN 0.0 ELSE g.final_p - s.initial_prob END, {r}) AS probability_lift,
+  s.initial_prob >= {P.LOWER_THRESHOLD} AS already_above_threshold,
+  CAST(coalesce(g.n_adj, 0) AS BIGINT) AS n_adjustments,
+  coalesce(g.applied, '') AS applied_features
+FROM scored s LEFT JOIN greedy_final g ON g.opportunity_id = s.opportunity_id"""
+    q["recommendation_adjustments"] = _with(*greedy) + """
+SELECT g.opportunity_id, g.feature, r.v AS original_value, round(r.new_value, 6) AS new_value,
+  round(r.new_value - r.v, 6) AS delta
+FROM greedy g JOIN ranked r ON r.opportunity_id = g.opportunity_id AND r.feature = g.feature
+WHERE g.took"""
     return q

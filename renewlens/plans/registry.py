@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from renewlens import params as P
 from renewlens.plans import features as C
+from renewlens.session import ensure_checkpoint_dir
 from renewlens.sources.testdata import TestdataSources
 
 FP = P.FeatureParams()
@@ -81,6 +82,59 @@ def q_feature_table(spark, sf_dir):
     return C.feature_table(_src(spark, sf_dir), FP)
 
 
+def _scored(spark, sf_dir):
+    from renewlens.plans import scoring as S
+
+    # the scored table is stored (reliable checkpoint under
+    # spark.checkpoint.dir; the notebook stores its feature table too) so the
+    # search starts from stored rows and never re-derives the logit
+    ensure_checkpoint_dir(spark)
+    ft = C.feature_table(_src(spark, sf_dir), FP)
+    return S.score_linear(S.scoring_set(ft), S.synthetic_model()).checkpoint()
+
+
+def q_scoring_set(spark, sf_dir):
+    from renewlens.plans import scoring as S
+
+    return S.scoring_set(C.feature_table(_src(spark, sf_dir), FP))
+
+
+def q_score_logistic(spark, sf_dir):
+    from renewlens.plans import scoring as S
+
+    return S.score_table(_scored(spark, sf_dir))
+
+
+def q_adjustment_candidates(spark, sf_dir):
+    from renewlens.plans import recommend as R, scoring as S
+
+    return R.adjustment_candidates(_scored(spark, sf_dir), S.synthetic_model())
+
+
+def q_first_beneficial_step(spark, sf_dir):
+    from renewlens.plans import recommend as R, scoring as S
+
+    return R.first_beneficial_steps(_scored(spark, sf_dir), S.synthetic_model())
+
+
+def q_recommendations(spark, sf_dir):
+    from renewlens.plans import recommend as R, scoring as S
+
+    return R.recommend(_scored(spark, sf_dir), S.synthetic_model()).drop("applied_features", "applied_adjustments")
+
+
+def q_recommendation_summary(spark, sf_dir):
+    from renewlens.plans import recommend as R, scoring as S
+
+    return R.recommendation_summary(R.recommend(_scored(spark, sf_dir), S.synthetic_model()))
+
+
+def q_recommendation_adjustments(spark, sf_dir):
+    from renewlens.plans import recommend as R, scoring as S
+
+    return R.recommendation_adjustments(R.recommend(_scored(spark, sf_dir), S.synthetic_model()))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "package_base": q_package_base,
@@ -96,4 +150,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "owner_experience": q_owner_experience,
         "competitor_listings": q_competitor_listings,
         "feature_table": q_feature_table,
+        "scoring_set": q_scoring_set,
+        "score_logistic": q_score_logistic,
+        "adjustment_candidates": q_adjustment_candidates,
+        "first_beneficial_step": q_first_beneficial_step,
+        "recommendations": q_recommendations,
+        "recommendation_summary": q_recommendation_summary,
+        "recommendation_adjustments": q_recommendation_adjustments,
     }
