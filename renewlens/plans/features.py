@@ -718,9 +718,16 @@ def feature_table(
     base: DataFrame | None = None,
     leads: DataFrame | None = None,
 ) -> DataFrame:
-    """The 65-column per-package feature table (``features_latest``)."""
-    base = package_base(src, p) if base is None else base
-    leads = lead_base(src, p) if leads is None else leads
+    """The 65-column per-package feature table (``features_latest``).
+
+    The package base feeds eight builders and the lead base three, so both
+    are staged once (written under ``spark.checkpoint.dir`` and read back)
+    unless the caller passes them in.
+    """
+    from renewlens.sources.store import stage
+
+    base = stage(package_base(src, p), "package_base") if base is None else base
+    leads = stage(lead_base(src, p), "lead_base") if leads is None else leads
     cm = city_month_renewal(src, p).withColumnRenamed("renewal_due_month", "__cut_month")
     med = city_median_activity(base, city_daily_activity(leads), p).drop("city")
     slots = slots_per_package(src).select("seller_uuid", "opportunity_id", "count_slots_pkg")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from renewlens import params as P
 from renewlens.plans import features as C
-from renewlens.session import ensure_checkpoint_dir
+from renewlens.sources.store import stage
 from renewlens.sources.testdata import TestdataSources
 
 FP = P.FeatureParams()
@@ -85,12 +85,11 @@ def q_feature_table(spark, sf_dir):
 def _scored(spark, sf_dir):
     from renewlens.plans import scoring as S
 
-    # the scored table is stored (reliable checkpoint under
-    # spark.checkpoint.dir; the notebook stores its feature table too) so the
-    # search starts from stored rows and never re-derives the logit
-    ensure_checkpoint_dir(spark)
+    # the scored table is stored (parquet under spark.checkpoint.dir; the
+    # notebook stores its feature table too) so the search starts from stored
+    # rows and never re-derives the logit
     ft = C.feature_table(_src(spark, sf_dir), FP)
-    return S.score_linear(S.scoring_set(ft), S.synthetic_model()).checkpoint()
+    return stage(S.score_linear(S.scoring_set(ft), S.synthetic_model()), "scored")
 
 
 def q_scoring_set(spark, sf_dir):
