@@ -706,6 +706,7 @@ def queries() -> dict[str, str]:
     q["competitor_listings"] = _with(_base_cte(), COMPETITOR_CTE) + "SELECT * FROM competitors"
     q["feature_table"] = _with(*features_latest_ctes()) + "SELECT * FROM features_latest"
     q.update(scoring_queries())
+    q.update(extra_queries())
     return q
 
 
@@ -863,3 +864,69 @@ SELECT g.opportunity_id, g.feature, r.v AS original_value, round(r.new_value, 6)
 FROM greedy g JOIN ranked r ON r.opportunity_id = g.opportunity_id AND r.feature = g.feature
 WHERE g.took"""
     return q
+
+
+_LISTING_ALL = """
+listing_all AS (
+  SELECT f.id AS listing_id, ft.name AS city,
+    CASE WHEN at2.display_name IN ('1 RK', '1 BHK') THEN '1RK/1BHK'
+         WHEN at2.display_name IN ('2 BHK', '3 BHK', '3+ BHK') THEN at2.display_name ELSE 'Others' END AS bhk_type,
+    CASE WHEN pt.name IN ('Independent House', 'Villa') THEN 'Independent House/Villa'
+         WHEN pt.name IN ('Apartment') THEN 'Apartment'
+         WHEN pt.name IN ('Independent Floor') THEN 'Independent Floor' ELSE 'Others' END AS property_type,
+    max(CASE WHEN f.is_buy = true THEN TRY_CAST(f.price AS INTEGER)
+             ELSE TRY_CAST(json_extract_string(uf.user_flat_details, '$.rent') AS INTEGER) END) AS listing_price
+  FROM flats f
+  LEFT JOIN user_flats uf ON f.id = uf.flat_id
+  LEFT JOIN feature_types ft ON ft.id = f.region_bounding_box_id
+  LEFT JOIN property_types pt ON pt.id = f.property_type_id
+  LEFT JOIN apartment_types at2 ON at2.id = f.apartment_type_id
+  GROUP BY 1, 2, 3, 4
+)"""
+
+
+def extra_queries() -> dict[str, str]:
+    from renewlens.plans.registry import LEAD_SUBSETS
+
+    q: dict[str, str] = {}
+    lead = _with(_base_cte(), _lead_ctes(), LEAD_FEATURE_CTE)
+    for name, cols in LEAD_SUBSETS.items():
+        q[name] = lead + f"SELECT city, seller_uuid, opportunity_id, {', '.join(cols)} FROM lead_features"
+    q["package_recency_rank"] = _with(_base_cte(), _prior_cte()) + """
+SELECT b.city, b.seller_uuid, b.opportunity_id, b.package_start_date,
+  CAST(1 + count(pp.opportunity_id) AS INTEGER) AS package_recency_rank
+FROM (SELECT DISTINCT city, seller_uuid, opportunity_id, package_start_date FROM base_rows) b
+LEFT JOIN previous_package pp ON pp.seller_uuid = b.seller_uuid
+  AND pp.previous_package_start_date > b.package_start_date
+GROUP BY ALL"""
+    q["listing_buckets"] = _with(_LISTING_ALL) + "SELECT * FROM listing_all"
+    q["listing_price_median_impute"] = _with(_lead_ctes()) + "SELECT * FROM imputation_calculation"
+    q["seller_property_mode"] = _with(_lead_ctes()) + """
+SELECT s.seller_uuid, m.property_type AS property_type_mode
+FROM (SELECT DISTINCT seller_uuid FROM property_leads_combined) s
+LEFT JOIN (
+  SELECT seller_uuid, property_type FROM (
+    SELECT seller_uuid, property_type,
+      row_number() OVER (PARTITION BY seller_uuid ORDER BY count(*) DESC, property_type) AS rn
+    FROM property_leads_combined WHERE property_type IS NOT NULL GROUP BY 1, 2) t
+  WHERE rn = 1) m ON m.seller_uuid = s.seller_uuid"""
+    q["lead_channel_bucket"] = _with(_lead_ctes()) + """
+SELECT lead_generator, lead_generator_new, count(*) AS n_leads FROM lead_base GROUP BY ALL"""
+    q["packages_per_cutoff"] = _with(_base_cte(backup=True)) + """
+SELECT onefourth_cutoff_date, count(DISTINCT opportunity_id) AS cnt FROM base_rows GROUP BY onefourth_cutoff_date"""
+    feats = _with(*features_latest_ctes())
+    q["feature_counts"] = feats + """
+SELECT count(*) AS n_rows, count(DISTINCT seller_uuid) AS sellers, count(DISTINCT opportunity_id) AS distinct_opportunities
+FROM features_latest"""
+    q["cutoff_range"] = feats + """
+SELECT min(onefourth_cutoff_date) AS min_cutoff_date, max(onefourth_cutoff_date) AS max_cutoff_date FROM features_latest"""
+    q["top_packages"] = feats + """
+SELECT opportunity_id, seller_uuid, city, total_leads_25pctduration FROM features_latest
+ORDER BY total_leads_25pctduration DESC, opportunity_id ASC LIMIT 20"""
+    q["feature_repository"] = feats + """
+SELECT feature_creation_date, count(DISTINCT opportunity_id) AS cnt FROM features_latest GROUP BY 1"""
+    q["score_monitor"] = _with(*(features_latest_ctes() + _scoring_ctes())) + f"""
+SELECT {AS_OF} AS model_run_date, count(DISTINCT opportunity_id) AS cnt_opportunities,
+  CAST(sum(CASE WHEN initial_prob >= 0.25 THEN 1 ELSE 0 END) AS BIGINT) AS percent_renewals
+FROM scored"""
+    return q

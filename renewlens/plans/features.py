@@ -168,6 +168,30 @@ def raw_leads(src, p: P.FeatureParams = P.FeatureParams()) -> DataFrame:
     )
 
 
+def leads_with_listings(src, p: P.FeatureParams = P.FeatureParams()) -> DataFrame:
+    """Distinct leads with their listing's city, buckets and raw price."""
+    leads = raw_leads(src, p)
+    det = listing_details(src)
+    return leads.join(det, "listing_id", "left").select(
+        "city", "seller_uuid", "listing_id", "listing_price", "property_type", "bhk_type",
+        "lead_id", "lead_type", "lead_date", "lead_filler", "lead_generator", "traffic_sourcemedium",
+    ).dropDuplicates()
+
+
+def seller_median_price(plc: DataFrame) -> DataFrame:
+    """A11: exact median listing price per seller (the imputation value)."""
+    return plc.groupBy("seller_uuid").agg(F.median("listing_price").alias("mean_listing_price"))
+
+
+def seller_property_mode(plc: DataFrame) -> DataFrame:
+    """A12: most frequent property type per seller, ties to the smallest;
+    NULL for a seller without any."""
+    from renewlens.operators.aggs import deterministic_mode
+
+    sellers = plc.select("seller_uuid").dropDuplicates()
+    return sellers.join(deterministic_mode(plc, ["seller_uuid"], "property_type", "property_type_mode"), "seller_uuid", "left")
+
+
 def lead_base(src, p: P.FeatureParams = P.FeatureParams()) -> DataFrame:
     """Leads joined to listing details, NULL prices imputed by the seller's
     median listing price, with bedroom / property / channel buckets.
@@ -176,12 +200,7 @@ def lead_base(src, p: P.FeatureParams = P.FeatureParams()) -> DataFrame:
     leads (an IN subquery); the LEFT join from the leads below already drops
     every other listing, so that extra pass is not needed.
     """
-    leads = raw_leads(src, p)
-    det = listing_details(src)
-    plc = leads.join(det, "listing_id", "left").select(
-        "city", "seller_uuid", "listing_id", "listing_price", "property_type", "bhk_type",
-        "lead_id", "lead_type", "lead_date", "lead_filler", "lead_generator", "traffic_sourcemedium",
-    ).dropDuplicates()
+    plc = leads_with_listings(src, p)
     # exact median per seller; the percentile buffer holds one entry per
     # distinct price of the seller (partial aggregation merges them)
     imp = plc.groupBy("seller_uuid").agg(F.median("listing_price").alias("__median_price"))

@@ -134,6 +134,102 @@ def q_recommendation_adjustments(spark, sf_dir):
     return R.recommendation_adjustments(R.recommend(_scored(spark, sf_dir), S.synthetic_model()))
 
 
+LEAD_SUBSETS = {
+    "leads_in_window": ["total_leads_25pctduration", "tot_listings_25pctduration"],
+    "listing_price_in_window": ["tot_listing_price_25pctduration"],
+    "listings_by_property_type": C.PTYPE_LISTING_COLS,
+    "listings_by_bedroom": C.BHK_LISTING_COLS,
+    "leads_by_property_type": C.PTYPE_LEAD_COLS,
+    "leads_by_bedroom": C.BHK_LEAD_COLS,
+    "leads_by_channel": C.CHANNEL_COLS,
+}
+
+
+def _lead_subset(cols):
+    def q(spark, sf_dir):
+        s = _src(spark, sf_dir)
+        return C.lead_features(C.package_base(s, FP), C.lead_base(s, FP), FP).select(*C.PKG, *cols)
+
+    return q
+
+
+def q_package_recency_rank(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    return C.package_recency_rank(C.package_base(s, FP), s)
+
+
+def q_listing_buckets(spark, sf_dir):
+    return C.listing_details(_src(spark, sf_dir))
+
+
+def q_listing_price_median_impute(spark, sf_dir):
+    return C.seller_median_price(C.leads_with_listings(_src(spark, sf_dir), FP))
+
+
+def q_seller_property_mode(spark, sf_dir):
+    return C.seller_property_mode(C.leads_with_listings(_src(spark, sf_dir), FP))
+
+
+def q_lead_channel_bucket(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    lb = C.lead_base(_src(spark, sf_dir), FP)
+    return lb.groupBy("lead_generator", "lead_generator_new").agg(F.count(F.lit(1)).alias("n_leads"))
+
+
+def q_packages_per_cutoff(spark, sf_dir):
+    from renewlens.plans import monitor as M
+
+    return M.packages_per_cutoff(C.package_base(_src(spark, sf_dir), FP.backup()))
+
+
+def q_feature_counts(spark, sf_dir):
+    from renewlens.plans import monitor as M
+
+    return M.feature_counts(C.feature_table(_src(spark, sf_dir), FP))
+
+
+def q_cutoff_range(spark, sf_dir):
+    from renewlens.plans import monitor as M
+
+    return M.cutoff_range(C.feature_table(_src(spark, sf_dir), FP))
+
+
+def q_top_packages(spark, sf_dir):
+    from renewlens.plans import monitor as M
+
+    return M.top_packages(C.feature_table(_src(spark, sf_dir), FP))
+
+
+def _fresh_root(spark, name):
+    import uuid
+
+    from renewlens.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def q_feature_repository(spark, sf_dir):
+    """C13: the dated repository written twice for the run date (rerun-safe),
+    read back as rows per run date."""
+    from renewlens.plans import monitor as M
+    from renewlens.sources.store import write_dated
+
+    path = _fresh_root(spark, "features_repository")
+    ft = stage(C.feature_table(_src(spark, sf_dir), FP), "features_latest")
+    write_dated(ft, path, "feature_creation_date")
+    write_dated(ft, path, "feature_creation_date")
+    return M.runs_overview(spark.read.parquet(path))
+
+
+def q_score_monitor(spark, sf_dir):
+    """Q7 over the prediction history written by a full daily run."""
+    from renewlens.plans import monitor as M
+
+    paths = M.daily_run(spark, _src(spark, sf_dir), _fresh_root(spark, "daily"), FP)
+    return M.score_monitor(spark.read.parquet(paths["prediction_history"]))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "package_base": q_package_base,
@@ -156,4 +252,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "recommendations": q_recommendations,
         "recommendation_summary": q_recommendation_summary,
         "recommendation_adjustments": q_recommendation_adjustments,
+        "package_recency_rank": q_package_recency_rank,
+        **{name: _lead_subset(cols) for name, cols in LEAD_SUBSETS.items()},
+        "listing_buckets": q_listing_buckets,
+        "listing_price_median_impute": q_listing_price_median_impute,
+        "seller_property_mode": q_seller_property_mode,
+        "lead_channel_bucket": q_lead_channel_bucket,
+        "packages_per_cutoff": q_packages_per_cutoff,
+        "feature_counts": q_feature_counts,
+        "cutoff_range": q_cutoff_range,
+        "top_packages": q_top_packages,
+        "feature_repository": q_feature_repository,
+        "score_monitor": q_score_monitor,
     }
