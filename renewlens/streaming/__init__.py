@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The reference is a daily batch keyed by run date: no readStream, watermark,
+event-time window or stateful operator appears in it. Freshness is handled by
+the dated, rerun-safe sinks in ``renewlens.sources.store``; this package is
+intentionally empty.
+"""
