@@ -230,6 +230,18 @@ def q_score_monitor(spark, sf_dir):
     return M.score_monitor(spark.read.parquet(paths["prediction_history"]))
 
 
+def q_score_gbt(spark, sf_dir):
+    """M2 with a Spark ML model: gradient-boosted trees fitted on the stored
+    scoring set (label: renewal flag of the package), then applied in one
+    transform. Rows-only check: tree fitting has no SQL equivalent."""
+    from renewlens.plans import scoring as S
+
+    src = _src(spark, sf_dir)
+    ss = stage(S.scoring_set(C.feature_table(src, FP)), "scoring_set")
+    model = S.fit_gbt(ss, S.renewal_labels(src))
+    return S.score_table(S.score_with_pipeline(ss, model))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "package_base": q_package_base,
@@ -247,6 +259,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "feature_table": q_feature_table,
         "scoring_set": q_scoring_set,
         "score_logistic": q_score_logistic,
+        "score_gbt": q_score_gbt,
         "adjustment_candidates": q_adjustment_candidates,
         "first_beneficial_step": q_first_beneficial_step,
         "recommendations": q_recommendations,

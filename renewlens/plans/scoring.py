@@ -156,3 +156,38 @@ def score_with_spark_ml(scoring: DataFrame, fitted_model, features_col: str = "f
 def score_table(scored: DataFrame) -> DataFrame:
     """Registered view of M2: one rounded probability per package."""
     return scored.select("opportunity_id", F.round("initial_prob", PROB_DIGITS).alias("initial_prob"))
+
+
+def renewal_labels(src) -> DataFrame:
+    """Label per package: 1 when its renewal window is the renewed label."""
+    return src.renewal_report.select(
+        "opportunity_id",
+        F.when(F.col("renewal_window").isin(P.RENEWED_LABEL), 1.0).otherwise(0.0).alias("label"),
+    )
+
+
+def fit_gbt(scoring: DataFrame, labels: DataFrame, max_iter: int = 10, max_depth: int = 3, seed: int = 42):
+    """Fit a Spark ML pipeline (assembler + gradient-boosted trees) on the 57
+    model inputs. Training is distributed by Spark ML; nothing is collected."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    feats = [F.col(f).cast("double").alias(f) for f in MODEL_FEATURES]
+    train = scoring.select("opportunity_id", *feats).join(labels, "opportunity_id")
+    pipe = Pipeline(
+        stages=[
+            VectorAssembler(inputCols=list(MODEL_FEATURES), outputCol="features", handleInvalid="keep"),
+            GBTClassifier(labelCol="label", featuresCol="features", maxIter=max_iter, maxDepth=max_depth, seed=seed),
+        ]
+    )
+    return pipe.fit(train)
+
+
+def score_with_pipeline(scoring: DataFrame, pipeline_model) -> DataFrame:
+    """M2 with a fitted ``PipelineModel`` whose first stage assembles the inputs."""
+    from pyspark.ml.functions import vector_to_array
+
+    feats = [F.col(f).cast("double").alias(f) for f in MODEL_FEATURES]
+    out = pipeline_model.transform(scoring.select("opportunity_id", *feats))
+    return out.select("opportunity_id", *MODEL_FEATURES, vector_to_array("probability")[1].alias("initial_prob"))
