@@ -242,6 +242,19 @@ def q_score_gbt(spark, sf_dir):
     return S.score_table(S.score_with_pipeline(ss, model))
 
 
+def q_recommendations_gbt(spark, sf_dir):
+    """M5-M10 with a Spark ML model: the generic (model-agnostic) search,
+    GBT probabilities, linear attributions as the explainer. Rows-only."""
+    from renewlens.plans import recommend as R, recommend_generic as G, scoring as S
+
+    src = _src(spark, sf_dir)
+    ss = stage(S.scoring_set(C.feature_table(src, FP)), "scoring_set")
+    model = S.fit_gbt(ss, S.renewal_labels(src))
+    scored = stage(S.score_with_pipeline(ss, model), "scored_gbt")
+    rec = G.recommend_with_model(scored, G.pipeline_scorer(model), S.synthetic_model().attribution)
+    return R.recommendation_summary(rec)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "package_base": q_package_base,
@@ -265,6 +278,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "recommendations": q_recommendations,
         "recommendation_summary": q_recommendation_summary,
         "recommendation_adjustments": q_recommendation_adjustments,
+        "recommendations_gbt": q_recommendations_gbt,
         "package_recency_rank": q_package_recency_rank,
         **{name: _lead_subset(cols) for name, cols in LEAD_SUBSETS.items()},
         "listing_buckets": q_listing_buckets,
