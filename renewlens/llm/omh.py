@@ -38,13 +38,15 @@ TUPLE = 3
 _OFFER = 16
 
 
-def labelled_shingles(column: pa.Array, k: int = SHINGLE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, last row + 1, labelled shingles, offsets) by ranges of rows."""
+def labelled_shingles(column: pa.Array, k: int = SHINGLE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, last row + 1, labelled shingles, offsets, whether each is
+    its text's first of the kind) by ranges of rows."""
     raw, offsets = tb.utf8(column)
     for lo, hi in tb.doc_ranges(offsets):
         words, docs = tb.word_hashes(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
         s, so = tb.shingles(words, docs, hi - lo, k)
-        yield lo, hi, tb.occurrence_labelled(s, so), so
+        items, first = tb.occurrence_labelled(s, so)
+        yield lo, hi, items, so, first
 
 
 def order_min_hashes(items: np.ndarray, offsets: np.ndarray, sketches: int, size: int) -> np.ndarray:
@@ -117,25 +119,42 @@ def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float
     return s if s >= threshold - 1e-12 else 0.0
 
 
+def similarity(a: np.ndarray, first_a: np.ndarray, b: np.ndarray, first_b: np.ndarray, threshold: float = THRESHOLD) -> float:
+    """``aligned`` of the labelled shingles, or where that is too low and
+    shingles repeat, of the different ones."""
+    s = aligned(a, b, threshold)
+    if s or (first_a.all() and first_b.all()):
+        return s
+    return aligned(a[first_a], b[first_b], threshold)
+
+
+def _may_reach(threshold: float) -> str:
+    return " or ".join(
+        f"least(x.{n}, y.{n}) >= {threshold}D * greatest(x.{n}, y.{n}) - 1e-9D" for n in ("n_shingles", "n_distinct")
+    )
+
+
 def sketch(docs: DataFrame, sketches: int = SKETCHES, size: int = TUPLE, k: int = SHINGLE) -> DataFrame:
     """(doc_id, node, n_shingles, keys) of the documents that have a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, items, offsets in labelled_shingles(batch.column("text"), k):
+            for lo, hi, items, offsets, first in labelled_shingles(batch.column("text"), k):
                 keys = order_min_hashes(items, offsets, sketches, size)
                 counts = np.diff(offsets)
                 width = np.where(counts > 0, sketches, 0)
                 flat = keys[counts > 0].reshape(-1).view(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(width)]), pa.int32()), pa.array(flat, pa.int64()))
                 part = batch.slice(lo, hi - lo)
+                distinct = np.concatenate([[0], np.cumsum(first)])
+                distinct = distinct[offsets[1:]] - distinct[offsets[:-1]]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("node"), pa.array(counts, pa.int64()), lists],
-                    ["doc_id", "node", "n_shingles", "keys"],
+                    [part.column("doc_id"), part.column("node"), pa.array(counts, pa.int64()), pa.array(distinct, pa.int64()), lists],
+                    ["doc_id", "node", "n_shingles", "n_distinct", "keys"],
                 )
 
     rows = docs.where("text is not null").select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("node"), "text")
-    return rows.mapInArrow(run, "doc_id long, node long, n_shingles long, keys array<long>")
+    return rows.mapInArrow(run, "doc_id long, node long, n_shingles long, n_distinct long, keys array<long>")
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, threshold: float, k: int) -> DataFrame:
@@ -146,29 +165,25 @@ def _verify(pairs: DataFrame, texts: DataFrame, threshold: float, k: int) -> Dat
                 part = batch.slice(lo, step)
                 both = []
                 for name in ("ta", "tb"):
-                    one: list[np.ndarray] = []
-                    for _, _, items, offsets in labelled_shingles(part.column(name), k):
-                        one += [items[offsets[r] : offsets[r + 1]] for r in range(len(offsets) - 1)]
+                    one: list[tuple[np.ndarray, np.ndarray]] = []
+                    for _, _, items, offsets, first in labelled_shingles(part.column(name), k):
+                        one += [(items[o:e], first[o:e]) for o, e in zip(offsets[:-1], offsets[1:], strict=True)]
                     both.append(one)
-                sim = np.array([aligned(x, y, threshold) for x, y in zip(*both, strict=True)], float)
+                sim = np.array([similarity(*x, *y, threshold) for x, y in zip(*both, strict=True)], float)
                 ok = pa.array(sim > 0)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("a").filter(ok), part.column("b").filter(ok), pa.array(sim[sim > 0])], ["a", "b", "similarity"]
                 )
 
     # a hot node keys many pairs: both joins are plain ones, which adaptive execution splits
-    wide = (
-        pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta"), F.col("n_shingles").alias("na")), "a")
-        .join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb"), F.col("n_shingles").alias("nb")), "b")
-        .where(F.least("na", "nb") >= threshold * F.greatest("na", "nb") - 1e-9)
-    )
+    wide = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
     return wide.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, similarity double")
 
 
 def _item_sets(texts: DataFrame, labels: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, items, offsets in labelled_shingles(batch.column("text"), k):
+            for lo, hi, items, offsets, _ in labelled_shingles(batch.column("text"), k):
                 part = batch.slice(lo, hi - lo)
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(items.view(np.int64), pa.int64()))
                 yield pa.RecordBatch.from_arrays([part.column("node"), part.column("label"), lists], ["node", "label", "items"])
@@ -178,24 +193,23 @@ def _item_sets(texts: DataFrame, labels: DataFrame, k: int) -> DataFrame:
 
 def near_duplicate_links(docs: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE,
                          sketches: int = SKETCHES, size: int = TUPLE) -> tuple[DataFrame, DataFrame]:
-    """(nodes: node, doc_id, n_shingles; links: a, b, similarity) where a node
-    is a distinct text and links join different texts."""
+    """(nodes: node, doc_id, n_shingles, n_distinct; links: a, b, similarity)
+    where a node is a distinct text and links join different texts."""
     sk = stage(sketch(docs, sketches, size, k), "omh-sketches")
-    nodes = stage(sk.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles")), "omh-nodes")
+    nodes = stage(sk.groupBy("node").agg(
+        F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("n_distinct").alias("n_distinct")), "omh-nodes")
     entries = sk.select(F.explode("keys").alias("key"), "node").distinct()
     pairs, crowded = bucket_pairs(entries, name="omh")
-    size_of = nodes.select("node", F.col("n_shingles").alias("n"))
-    pairs = (
-        pairs.join(size_of.toDF("a", "na"), "a").join(size_of.toDF("b", "nb"), "b")
-        .where(F.least("na", "nb") >= threshold * F.greatest("na", "nb") - 1e-9).select("a", "b")
-    )
-    pairs = stage(pairs, "omh-pairs")
+    x, y = nodes.alias("x"), nodes.alias("y")
+    pairs = stage(
+        pairs.join(x, F.col("a") == F.col("x.node")).join(y, F.col("b") == F.col("y.node"))
+        .where(_may_reach(threshold)).select("a", "b"), "omh-pairs")
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(crowded.select("node")).distinct()
     # one document of each wanted text: keyed by text and id, so copies of one text don't meet in one task
-    where = nodes.join(wanted, "node").select("node", F.col("doc_id").alias("at"), "n_shingles")
+    where = nodes.join(wanted, "node").select("node", F.col("doc_id").alias("at"))
     src = docs.where("text is not null").select(F.xxhash64("text").alias("node"), F.col("doc_id").cast("long").alias("at"), "text")
     texts = src.join(where, (src["node"] == where["node"]) & src["at"].eqNullSafe(where["at"])).select(
-        src["node"], "text", "n_shingles").dropDuplicates(["node"])
+        src["node"], "text").dropDuplicates(["node"])
     texts = stage(texts, "omh-texts")
     links = stage(_verify(pairs, texts, threshold, k), "omh-links")
     open_nodes = stage(unsettled(crowded, connected_components(links, name="omh-star")), "omh-open")

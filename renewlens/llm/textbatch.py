@@ -143,20 +143,21 @@ def shingles(words: np.ndarray, docs: np.ndarray, n_docs: int, k: int = 5, short
     return total, np.concatenate([[0], np.cumsum(per)])
 
 
-def occurrence_labelled(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def occurrence_labelled(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each hash combined with its running number among equal ones of its
-    document, so that a document's labelled shingles are all different."""
+    document, so that a document's labelled shingles are all different; and
+    whether it is the first such."""
     if not len(hashes):
-        return hashes
+        return hashes, np.ones(0, dtype=bool)
     docs = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     order = np.lexsort((hashes, docs))
     h, d = hashes[order], docs[order]
     new = np.ones(len(h), dtype=bool)
     new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
     if new.all():
-        return mix(hashes)
+        return mix(hashes), new
     at = np.arange(len(h))
     run = at - np.maximum.accumulate(np.where(new, at, 0))
     label = np.empty(len(h), np.uint64)
     label[order] = run.astype(np.uint64)
-    return mix(hashes + label * np.uint64(0xA0761D6478BD642F))
+    return mix(hashes + label * np.uint64(0xA0761D6478BD642F)), label == 0
