@@ -11,6 +11,7 @@ and a lost executor only repeats its own tasks; a block's memory is bounded by
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +30,10 @@ _ROWS = 256
 
 SEQUENCES = (
     "sequence_id long, n_tokens int, ids binary, cu_seqlens array<int>, position_resets array<int>, "
-    "segments array<struct<doc_id: long, start: long, length: long, doc_tokens: long>>"
+    "segments array<struct<doc_id: long, start: long, length: long, doc_tokens: long, ids_crc32: long>>"
 )
+#: How ids are stored; "<u4" for vocabularies of over 65,536 ids.
+ID_TYPE = "<u2"
 
 
 class FreeRoom:
@@ -86,27 +89,28 @@ def pieces(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(s, min(capacity, n - s)) for s in range(0, n, capacity)]
 
 
-def sequence_batch(rows: list[tuple[int, list[tuple]]], capacity: int, pad: int) -> pa.RecordBatch:
+def sequence_batch(rows: list[tuple[int, list[tuple]]], capacity: int, pad: int, id_type: str = ID_TYPE) -> pa.RecordBatch:
     """Sequences (id, [(doc_id, start, ids, doc_tokens), ...]) as a batch: one
-    little-endian 32-bit matrix row each, padded to the capacity, with the
-    cumulative segment lengths and the offsets at which positions restart."""
+    little-endian matrix row each, padded to the capacity, with the cumulative
+    segment lengths and the offsets at which positions restart. A segment's
+    crc32 is that of its ids as 32-bit numbers."""
     cols: list[list] = [[] for _ in range(6)]
     for sid, segs in rows:
         lens = [len(s[2]) for s in segs]
         cu = np.concatenate([[0], np.cumsum(lens)]).tolist()
-        row = np.full(capacity, pad, "<u4")
+        row = np.full(capacity, pad, id_type)
         row[: cu[-1]] = np.concatenate([s[2] for s in segs])
         for c, v in zip(cols, (sid, cu[-1], row.tobytes(), cu, cu[:-1], [
-                {"doc_id": s[0], "start": s[1], "length": n, "doc_tokens": s[3]} for s, n in zip(segs, lens, strict=True)]), strict=True):
+                {"doc_id": s[0], "start": s[1], "length": n, "doc_tokens": s[3], "ids_crc32": zlib.crc32(s[2].astype("<u4").tobytes())} for s, n in zip(segs, lens, strict=True)]), strict=True):
             c.append(v)
-    seg = pa.list_(pa.struct([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64())]))
+    seg = pa.list_(pa.struct([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("ids_crc32", pa.int64())]))
     kinds = [pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32()), seg]
     names = ["sequence_id", "n_tokens", "ids", "cu_seqlens", "position_resets", "segments"]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = tokens.BPE, end: int = 0, pad: int = 0,
-         block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+         block_tokens: int = BLOCK_TOKENS, id_type: str = ID_TYPE) -> DataFrame:
     """Packed sequences of all ``docs`` (doc_id, text; other columns ignored).
 
     A null or empty text is its end id alone; repeated rows are packed as often
@@ -123,7 +127,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = tokens.BPE
             nonlocal number
             for lo in range(0, len(groups), _ROWS):
                 part = groups[lo : lo + _ROWS]
-                yield sequence_batch([(number + i, g) for i, g in enumerate(part)], capacity, pad)
+                yield sequence_batch([(number + i, g) for i, g in enumerate(part)], capacity, pad, id_type)
                 number += len(part)
 
         def flush() -> Iterator[pa.RecordBatch]:
