@@ -7,13 +7,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from renewlens.llm import bfd_pack, bm25_pack, omh
+from renewlens.llm import bfd_pack, bm25_pack, fertility, omh
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bfd_packing": bfd_pack.op3_bfd_packing,
     "op4_retrieval_packing": bm25_pack.op4_retrieval_packing,
+    "op5_tokenizer_fertility": fertility.op5_tokenizer_fertility,
     "op6_order_minhash": omh.op6_order_minhash,
 }
 
