@@ -94,19 +94,31 @@ def sequence_batch(rows: list[tuple[int, list[tuple]]], capacity: int, pad: int,
     little-endian matrix row each, padded to the capacity, with the cumulative
     segment lengths and the offsets at which positions restart. A segment's
     crc32 is that of its ids as 32-bit numbers."""
-    cols: list[list] = [[] for _ in range(6)]
-    for sid, segs in rows:
-        lens = [len(s[2]) for s in segs]
-        cu = np.concatenate([[0], np.cumsum(lens)]).tolist()
-        row = np.full(capacity, pad, id_type)
-        row[: cu[-1]] = np.concatenate([s[2] for s in segs])
-        for c, v in zip(cols, (sid, cu[-1], row.tobytes(), cu, cu[:-1], [
-                {"doc_id": s[0], "start": s[1], "length": n, "doc_tokens": s[3], "ids_crc32": zlib.crc32(s[2].astype("<u4").tobytes())} for s, n in zip(segs, lens, strict=True)]), strict=True):
-            c.append(v)
-    seg = pa.list_(pa.struct([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("ids_crc32", pa.int64())]))
-    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32()), seg]
-    names = ["sequence_id", "n_tokens", "ids", "cu_seqlens", "position_resets", "segments"]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
+    segs = [seg for _, part in rows for seg in part]
+    per = np.array([len(part) for _, part in rows], np.int64)
+    lens = np.array([len(seg[2]) for seg in segs], np.int64)
+    first = np.concatenate([[0], np.cumsum(per)])
+    ends = np.cumsum(lens)
+    row_of = np.repeat(np.arange(len(rows)), per)
+    row_begin = np.concatenate([[0], ends])[first[:-1]] if len(rows) else np.empty(0, np.int64)
+    resets = ends - lens - row_begin[row_of] if len(rows) else np.empty(0, np.int64)
+    matrix = np.full((len(rows), capacity), pad, id_type)
+    for row, at, seg in zip(row_of.tolist(), resets.tolist(), segs, strict=True):
+        matrix[row, at : at + len(seg[2])] = seg[2]
+    width = matrix.dtype.itemsize * capacity
+    ids = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(np.arange(0, (len(rows) + 1) * width, width, dtype=np.int32)), pa.py_buffer(matrix)])
+    total = np.bincount(row_of, lens, minlength=len(rows)).astype(np.int32)
+    cu = np.insert(resets, first[1:], total)
+    lists = pa.array(first, pa.int32())
+    segments = pa.StructArray.from_arrays(
+        [pa.array([seg[0] for seg in segs], pa.int64()), pa.array([seg[1] for seg in segs], pa.int64()), pa.array(lens),
+         pa.array([seg[3] for seg in segs], pa.int64()), pa.array([zlib.crc32(seg[2].astype("<u4")) for seg in segs], pa.int64())],
+        ["doc_id", "start", "length", "doc_tokens", "ids_crc32"])
+    return pa.RecordBatch.from_arrays(
+        [pa.array([sid for sid, _ in rows], pa.int64()), pa.array(total), ids,
+         pa.ListArray.from_arrays(pa.array(first + np.arange(len(first)), pa.int32()), pa.array(cu, pa.int32())),
+         pa.ListArray.from_arrays(lists, pa.array(resets, pa.int32())), pa.ListArray.from_arrays(lists, segments)],
+        ["sequence_id", "n_tokens", "ids", "cu_seqlens", "position_resets", "segments"])
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = tokens.BPE, end: int = 0, pad: int = 0,

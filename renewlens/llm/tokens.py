@@ -64,7 +64,7 @@ def byte_pieces(vocabulary: str = PIECES) -> frozenset[int]:
     return frozenset(i for i in range(s.get_piece_size()) if s.is_byte(i))
 
 
-def documents(batches: Iterator[pa.RecordBatch], vocabulary: str = BPE, end: int | None = 0, rows: int = 64) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+def documents(batches: Iterator[pa.RecordBatch], vocabulary: str = BPE, end: int | None = 0, rows: int = 128) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """Slices of the batches with each row's ids (a null text is empty),
     followed by ``end`` if given."""
     encode = encoder(vocabulary)
