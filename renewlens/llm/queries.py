@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from renewlens.llm import bfd_pack, bm25_pack, fertility, omh
+from renewlens.llm import bfd_pack, bm25_pack, containment, fertility, omh, range_shards
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -16,9 +16,13 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_retrieval_packing": bm25_pack.op4_retrieval_packing,
     "op5_tokenizer_fertility": fertility.op5_tokenizer_fertility,
     "op6_order_minhash": omh.op6_order_minhash,
+    "op8_sampled_splitters": range_shards.op8_sampled_splitters,
+    "op10_containment": containment.op10_containment,
 }
 
-_ORACLE: dict[str, str] = {}
+_ORACLE: dict[str, str] = {
+    "op10_containment": containment.OP10_SQL,
+}
 
 
 def workers_import(spark: SparkSession) -> None:
