@@ -7,15 +7,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from renewlens.llm import bfd_pack, bm25_pack, containment, fertility, omh, range_shards
+from renewlens.llm import (
+    bfd_pack,
+    bm25_pack,
+    containment,
+    fertility,
+    host_consensus,
+    language_id,
+    omh,
+    range_shards,
+    url_filter,
+)
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filter": url_filter.op1_url_filter,
+    "op2_language_id": language_id.op2_language_id,
     "op3_bfd_packing": bfd_pack.op3_bfd_packing,
     "op4_retrieval_packing": bm25_pack.op4_retrieval_packing,
     "op5_tokenizer_fertility": fertility.op5_tokenizer_fertility,
     "op6_order_minhash": omh.op6_order_minhash,
+    "op7_host_consensus": host_consensus.op7_host_consensus,
     "op8_sampled_splitters": range_shards.op8_sampled_splitters,
     "op10_containment": containment.op10_containment,
 }
