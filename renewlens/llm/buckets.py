@@ -3,10 +3,10 @@
 An LSH bucket of n nodes stands for n*(n-1)/2 possible links. Small buckets
 give all of them. A crowded bucket (a big family of near copies, or many texts
 around one shared passage) gives only a star around its best connected node;
-what the star does not settle is handed to ``prefix_pairs``, an exact
-set-similarity join over the nodes of crowded buckets whose members are not all
-in one component by then. So no bucket is capped, and none emits all its pairs.
-DataFrame operations only.
+what the star does not settle goes to an exact comparison of the nodes of those
+crowded buckets whose members are not all in one component by then (here
+``prefix_pairs``, an exact set-similarity join). So no bucket is capped, and
+none emits all its pairs. DataFrame operations only.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ def _pair(x, y):
 
 
 def bucket_pairs(entries: DataFrame, small: int = SMALL, name: str = "buckets") -> tuple[DataFrame, DataFrame]:
-    """(pairs a < b, crowded members key/node) of entries (key, node bigint),
+    """(pairs a < b, crowded members key/node/pivot) of entries (key, node bigint),
     which must hold each (key, node) once.
 
     Counting is one map-side combined aggregate; buckets of two and three are
@@ -56,21 +56,23 @@ def bucket_pairs(entries: DataFrame, small: int = SMALL, name: str = "buckets")
         crowded.join(degree, "node").groupBy("key")
         .agg(F.max(F.struct("degree", "node")).getField("node").alias("pivot"))
     )
+    crowded = stage(crowded.join(pivots, "key").select("key", "node", "pivot"), f"{name}-crowded")
     star = (
-        crowded.join(pivots, "key").where("node != pivot")
+        crowded.where("node != pivot")
         .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
     )
     pairs = few.unionByName(within).unionByName(star).distinct()
-    return pairs, crowded.select("key", "node")
+    return pairs, crowded
 
 
 def unsettled(crowded: DataFrame, labels: DataFrame) -> DataFrame:
-    """(node, label) of the crowded buckets that still hold two components."""
+    """(pivot, node, label) of the crowded buckets that still hold two
+    components."""
     lab = crowded.join(labels, "node", "left").select(
-        "key", "node", F.coalesce("component", "node").alias("label")
+        "key", "pivot", "node", F.coalesce("component", "node").alias("label")
     )
     open_keys = lab.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l != h").select("key")
-    return lab.join(open_keys, "key", "left_semi").select("node", "label").distinct()
+    return lab.join(open_keys, "key", "left_semi").select("pivot", "node", "label").distinct()
 
 
 def prefix_pairs(sets: DataFrame, threshold: float = 0.8) -> DataFrame:

@@ -247,7 +247,7 @@ def extract(pages: DataFrame, share: float = SHARE) -> DataFrame:
     """
     own = [c for c in pages.columns if c not in ("text", "text_path", "by_consensus")]
     pages = pages.select(*own)
-    won = stage(winners(votes(pages)), "host-paths").withColumnRenamed("host", "__host")
+    won = stage(winners(stage(votes(pages), "host-votes"), share), "host-paths").withColumnRenamed("host", "__host")
     # the written table's size decides how it is joined
     joined = pages.withColumn("__h", host_path("url")[0]).join(won, F.col("__h") == F.col("__host"), "left").select(*own, F.col("paths").alias("__paths"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema.fields if f.name != "html")

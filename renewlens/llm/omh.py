@@ -12,6 +12,12 @@ m / (n1 + n2 - m), at most their Jaccard index, and no aligned shingle of a
 pair that passes can be displaced by more than the band. Links become classes
 by distributed connected components; equal texts are one node from the start.
 
+In a bucket of many nodes all are compared with one of them; where that leaves
+two components, the nodes of that family are compared exactly, block by block
+of ``BLOCK`` texts inside tasks, through an inverted index of their shingles:
+the work of one unsettled family grows with its square, in steps of bounded
+memory, and only links leave a task.
+
 Nodes are 64-bit text hashes: n texts hold about n^2 / 2^65 colliding pairs.
 """
 
@@ -26,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from renewlens.llm import textbatch as tb
-from renewlens.llm.buckets import bucket_pairs, prefix_pairs, unsettled
+from renewlens.llm.buckets import bucket_pairs, unsettled
 from renewlens.llm.graph import connected_components
 from renewlens.sources.store import stage
 
@@ -36,6 +42,8 @@ SKETCHES = 18
 TUPLE = 3
 #: Expected number of shingles a document offers to a sketch's minimum search.
 _OFFER = 16
+#: Texts in one block of an unsettled family.
+BLOCK = 512
 
 
 def labelled_shingles(column: pa.Array, k: int = SHINGLE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -180,15 +188,58 @@ def _verify(pairs: DataFrame, texts: DataFrame, threshold: float, k: int) -> Dat
     return wide.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, similarity double")
 
 
-def _item_sets(texts: DataFrame, labels: DataFrame, k: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo, hi, items, offsets, _ in labelled_shingles(batch.column("text"), k):
-                part = batch.slice(lo, hi - lo)
-                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(items.view(np.int64), pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column("node"), part.column("label"), lists], ["node", "label", "items"])
-
-    return texts.join(labels, "node").select("node", "label", "text").mapInArrow(run, "node long, label long, items array<long>")
+def _overlaps(a: list[np.ndarray], b: list[np.ndarray], threshold: float) -> np.ndarray:
+    """Which pairs of item sets reach the Jaccard threshold: a matrix."""
+    items = np.concatenate(b)
+    owner = np.repeat(np.arange(len(b)), [len(x) for x in b])
+    order = np.argsort(items, kind="stable")
+    terms, begin = np.unique(items[order], return_index=True)
+    owner, end = owner[order], np.append(begin[1:], len(items))
+    sizes = np.array([len(x) for x in b])
+    out = np.zeros((len(a), len(b)), dtype=bool)
+    for i, x in enumerate(a):
+        if not len(x) or not len(terms):
+            continue
+        at = np.minimum(np.searchsorted(terms, x), len(terms) - 1)
+        at = at[terms[at] == x]
+        lens = end[at] - begin[at]
+        where = np.arange(lens.sum()) + np.repeat(begin[at] - np.cumsum(lens) + lens, lens)
+        shared = np.bincount(owner[where], minlength=len(b))
+        out[i] = shared >= threshold / (1 + threshold) * (len(x) + sizes) - 1e-9
+    return out
+
+
+def _compare_families(members: DataFrame, texts: DataFrame, threshold: float, k: int) -> DataFrame:
+    """Links (a, b, similarity) between nodes (pivot, node, label) of one pivot
+    and different labels, by blocks."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        lo, hi = table["lo"][0].as_py(), table["hi"][0].as_py()
+        seqs: list[tuple[np.ndarray, np.ndarray]] = []
+        for _, _, items, offsets, first in labelled_shingles(table["text"], k):
+            seqs += [(items[o:e], first[o:e]) for o, e in zip(offsets[:-1], offsets[1:], strict=True)]
+        block, node, label = (table[c].to_numpy() for c in ("block", "node", "label"))
+        x, y = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+        near = np.zeros((len(x), len(y)), dtype=bool)
+        if len(x) and len(y):
+            near |= _overlaps([seqs[i][0] for i in x], [seqs[j][0] for j in y], threshold)
+            near |= _overlaps([seqs[i][0][seqs[i][1]] for i in x], [seqs[j][0][seqs[j][1]] for j in y], threshold)
+            near &= label[x][:, None] != label[y][None, :]
+            if lo == hi:
+                near &= node[x][:, None] < node[y][None, :]
+        rows = []
+        for i, j in zip(*np.nonzero(near), strict=True):
+            p, q = x[i], y[j]
+            if s := similarity(*seqs[p], *seqs[q], threshold):
+                rows.append((min(node[p], node[q]), max(node[p], node[q]), s))
+        a, b, s = zip(*rows, strict=True) if rows else ([], [], [])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "similarity": pa.array(s, pa.float64())})
+
+    sizes = members.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    blocked = members.join(sizes, "pivot").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    wide = blocked.join(texts, "node").withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
+        "pivot", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "label", "text")
+    return wide.groupBy("pivot", "lo", "hi").applyInArrow(compare, "a long, b long, similarity double")
 
 
 def near_duplicate_links(docs: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE,
@@ -213,9 +264,8 @@ def near_duplicate_links(docs: DataFrame, threshold: float = THRESHOLD, k: int =
     texts = stage(texts, "omh-texts")
     links = stage(_verify(pairs, texts, threshold, k), "omh-links")
     open_nodes = stage(unsettled(crowded, connected_components(links, name="omh-star")), "omh-open")
-    rest = prefix_pairs(_item_sets(texts, open_nodes, k), threshold)
-    more = stage(_verify(rest, texts, threshold, k), "omh-rest")
-    return nodes, links.unionByName(more)
+    more = stage(_compare_families(open_nodes, texts, threshold, k).distinct(), "omh-rest")
+    return nodes, links.unionByName(more).distinct()
 
 
 def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE) -> DataFrame:

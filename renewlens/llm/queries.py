@@ -12,6 +12,7 @@ from renewlens.llm import (
     bm25_pack,
     containment,
     fertility,
+    fuzzy_lines,
     host_consensus,
     language_id,
     omh,
@@ -30,6 +31,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_order_minhash": omh.op6_order_minhash,
     "op7_host_consensus": host_consensus.op7_host_consensus,
     "op8_sampled_splitters": range_shards.op8_sampled_splitters,
+    "op9_fuzzy_lines": fuzzy_lines.op9_fuzzy_lines,
     "op10_containment": containment.op10_containment,
 }
 
