@@ -4,9 +4,8 @@ An LSH bucket of n nodes stands for n*(n-1)/2 possible links. Small buckets
 give all of them. A crowded bucket (a big family of near copies, or many texts
 around one shared passage) gives only a star around its best connected node;
 what the star does not settle goes to an exact comparison of the nodes of those
-crowded buckets whose members are not all in one component by then (here
-``prefix_pairs``, an exact set-similarity join). So no bucket is capped, and
-none emits all its pairs. DataFrame operations only.
+crowded buckets whose members are not all in one component by then (``unsettled``). So
+no bucket is capped, and none emits all its pairs. DataFrame operations only.
 """
 
 from __future__ import annotations
@@ -20,6 +19,24 @@ from renewlens.sources.store import stage
 SMALL = 8
 
 
+#: Bits of the sieve that spares rows a shuffle: 128 rows of 4 KB.
+_SIEVE_BITS = 1 << 22
+
+
+def sieved(rows: DataFrame, key: str, wanted: DataFrame, name: str) -> DataFrame:
+    """``rows`` with a boolean __maybe that is true wherever the long ``key``
+    is among those of ``wanted`` (and by chance elsewhere). The bitmap it is
+    looked up in has a fixed size, so it can be broadcast."""
+    at = F.pmod(F.xxhash64(key), F.lit(_SIEVE_BITS))
+    bucket, bit = F.floor(at / 32768).cast("int"), F.pmod(at, F.lit(32768)).cast("int")
+    bits = wanted.select(bucket.alias("__bucket"), bit.cast("long").alias("b")).groupBy("__bucket").agg(F.bitmap_construct_agg("b").alias("__bits"))
+    bits = stage(bits, name)
+    out = rows.withColumns({"__bucket": bucket, "__bit": bit})
+    out = out.join(F.broadcast(bits), "__bucket", "left")
+    hit = F.expr("(cast(conv(hex(substring(__bits, __bit div 8 + 1, 1)), 16, 10) as int) & shiftleft(1, __bit % 8)) != 0")
+    return out.withColumn("__maybe", F.coalesce(hit, F.lit(False))).drop("__bucket", "__bit", "__bits")
+
+
 def _pair(x, y):
     return F.struct(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
 
@@ -45,7 +62,9 @@ def bucket_pairs(entries: DataFrame, small: int = SMALL, name: str = "buckets")
         ).alias("p")).select("p.a", "p.b")
     )
     more = stage(counts.where("n >= 4").select("key", "n"), f"{name}-more")
-    members = stage(entries.join(more, "key"), f"{name}-members")
+    # most entries are alone in their bucket: the sieve spares them the shuffle
+    likely = sieved(entries, "key", more, f"{name}-sieve").where("__maybe").select("key", "node")
+    members = stage(likely.join(more, "key"), f"{name}-members")
     lists = members.where(F.col("n") <= small).groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("g"))
     within = lists.select(F.explode(F.expr(
         "flatten(transform(g, (y, i) -> transform(slice(g, 1, i), x -> struct(x AS a, y AS b))))"
@@ -73,36 +92,3 @@ def unsettled(crowded: DataFrame, labels: DataFrame) -> DataFrame:
     )
     open_keys = lab.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l != h").select("key")
     return lab.join(open_keys, "key", "left_semi").select("pivot", "node", "label").distinct()
-
-
-def prefix_pairs(sets: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """Pairs (a < b) of different labels that can reach the Jaccard threshold:
-    the exact prefix filter.
-
-    ``sets``: node, label, items (array of distinct bigint). Two sets of
-    Jaccard >= t share an item among the first n - ceil(t*n) + 1 of each, for
-    any common order. Items are ordered by the number of components that hold
-    them, so a family's own items come first and pair nothing with itself, and
-    a passage shared by many components comes last.
-    """
-    rows = sets.select("node", "label", F.explode("items").alias("item"))
-    spread = (
-        rows.select("item", "label").distinct().groupBy("item").agg(F.count(F.lit(1)).alias("spread"))
-    )
-    ranked = (
-        rows.join(spread, "item").groupBy("node", "label")
-        .agg(F.sort_array(F.collect_list(F.struct("spread", "item"))).alias("o"))
-        .withColumn("n", F.size("o"))
-    )
-    head = ranked.select(
-        "node", "label", "n",
-        F.explode(F.expr(f"slice(o, 1, n - cast(ceil({threshold}D * n - 1e-9D) as int) + 1)")).alias("s"),
-    ).where("s.spread >= 2").select("node", "label", "n", F.col("s.item").alias("item"))
-    x, y = head.alias("x"), head.alias("y")
-    return (
-        x.join(y, F.col("x.item") == F.col("y.item"))
-        .where(F.col("x.node") < F.col("y.node"))
-        .where(F.col("x.label") != F.col("y.label"))
-        .where(F.least("x.n", "y.n") >= threshold * F.greatest("x.n", "y.n") - 1e-9)
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    )

@@ -24,7 +24,8 @@ Nodes are 64-bit text hashes: n texts hold about n^2 / 2^65 colliding pairs.
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -165,7 +166,10 @@ def sketch(docs: DataFrame, sketches: int = SKETCHES, size: int = TUPLE, k: int
     return rows.mapInArrow(run, "doc_id long, node long, n_shingles long, n_distinct long, keys array<long>")
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, threshold: float, k: int) -> DataFrame:
+def verify_pairs(pairs: DataFrame, texts: DataFrame, reader: Callable, score: Callable) -> DataFrame:
+    """Links (a, b, similarity) of the pairs that ``score`` gives over zero.
+    ``reader`` turns a text column into items as ``labelled_shingles`` does."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             step = 256
@@ -174,10 +178,10 @@ def _verify(pairs: DataFrame, texts: DataFrame, threshold: float, k: int) -> Dat
                 both = []
                 for name in ("ta", "tb"):
                     one: list[tuple[np.ndarray, np.ndarray]] = []
-                    for _, _, items, offsets, first in labelled_shingles(part.column(name), k):
+                    for _, _, items, offsets, first in reader(part.column(name)):
                         one += [(items[o:e], first[o:e]) for o, e in zip(offsets[:-1], offsets[1:], strict=True)]
                     both.append(one)
-                sim = np.array([similarity(*x, *y, threshold) for x, y in zip(*both, strict=True)], float)
+                sim = np.array([score(*x, *y) for x, y in zip(*both, strict=True)], float)
                 ok = pa.array(sim > 0)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("a").filter(ok), part.column("b").filter(ok), pa.array(sim[sim > 0])], ["a", "b", "similarity"]
@@ -209,14 +213,14 @@ def _overlaps(a: list[np.ndarray], b: list[np.ndarray], threshold: float) -> np.
     return out
 
 
-def _compare_families(members: DataFrame, texts: DataFrame, threshold: float, k: int) -> DataFrame:
+def compare_families(members: DataFrame, texts: DataFrame, reader: Callable, score: Callable, threshold: float) -> DataFrame:
     """Links (a, b, similarity) between nodes (pivot, node, label) of one pivot
     and different labels, by blocks."""
 
     def compare(table: pa.Table) -> pa.Table:
         lo, hi = table["lo"][0].as_py(), table["hi"][0].as_py()
         seqs: list[tuple[np.ndarray, np.ndarray]] = []
-        for _, _, items, offsets, first in labelled_shingles(table["text"], k):
+        for _, _, items, offsets, first in reader(table["text"]):
             seqs += [(items[o:e], first[o:e]) for o, e in zip(offsets[:-1], offsets[1:], strict=True)]
         block, node, label = (table[c].to_numpy() for c in ("block", "node", "label"))
         x, y = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
@@ -230,7 +234,7 @@ def _compare_families(members: DataFrame, texts: DataFrame, threshold: float, k:
         rows = []
         for i, j in zip(*np.nonzero(near), strict=True):
             p, q = x[i], y[j]
-            if s := similarity(*seqs[p], *seqs[q], threshold):
+            if s := score(*seqs[p], *seqs[q]):
                 rows.append((min(node[p], node[q]), max(node[p], node[q]), s))
         a, b, s = zip(*rows, strict=True) if rows else ([], [], [])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "similarity": pa.array(s, pa.float64())})
@@ -262,9 +266,10 @@ def near_duplicate_links(docs: DataFrame, threshold: float = THRESHOLD, k: int =
     texts = src.join(where, (src["node"] == where["node"]) & src["at"].eqNullSafe(where["at"])).select(
         src["node"], "text").dropDuplicates(["node"])
     texts = stage(texts, "omh-texts")
-    links = stage(_verify(pairs, texts, threshold, k), "omh-links")
+    reader, score = partial(labelled_shingles, k=k), partial(similarity, threshold=threshold)
+    links = stage(verify_pairs(pairs, texts, reader, score), "omh-links")
     open_nodes = stage(unsettled(crowded, connected_components(links, name="omh-star")), "omh-open")
-    more = stage(_compare_families(open_nodes, texts, threshold, k).distinct(), "omh-rest")
+    more = stage(compare_families(open_nodes, texts, reader, score, threshold).distinct(), "omh-rest")
     return nodes, links.unionByName(more).distinct()
 
 

@@ -65,6 +65,28 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def _powers_for(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0 to n of the base and of its inverse, modulo 2^64."""
+    if n <= SEGMENT:
+        return _powers()
+    out = []
+    for base in (int(_P), pow(int(_P), -1, 1 << 64)):
+        p = np.full(n + 1, base, np.uint64)
+        p[0] = 1
+        out.append(np.multiply.accumulate(p))
+    return out[0], out[1]
+
+
+def rolling(codes: np.ndarray, k: int) -> np.ndarray:
+    """Polynomial hash of the k codes from each position on (fewer at the end)."""
+    n = len(codes)
+    power, inverse = _powers_for(n)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum((codes + np.uint64(1)) * power[:n], out=total[1:])
+    ends = np.minimum(np.arange(n) + k, n)
+    return (total[ends] - total[:n]) * inverse[:n]
+
+
 def _segment_words(raw: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and hashes of the words of one segment; ``breaks`` are
     positions where a word ends though no white space stands there."""
@@ -79,14 +101,7 @@ def _segment_words(raw: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.
         first[inner] |= word[inner]
         last[inner - 1] |= word[inner - 1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    power, inverse = _powers()
-    if len(raw) >= len(power):  # one word longer than a segment
-        power = np.full(len(raw) + 1, int(_P), np.uint64)
-        power[0] = 1
-        power = np.multiply.accumulate(power)
-        inv = np.full(len(raw) + 1, pow(int(_P), -1, 1 << 64), np.uint64)
-        inv[0] = 1
-        inverse = np.multiply.accumulate(inv)
+    power, inverse = _powers_for(len(raw))
     total = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power[: len(raw)], out=total[1:])
     hashes = (total[ends] - total[starts]) * inverse[starts]
