@@ -6,7 +6,7 @@ Modules:
   sources.testdata    the 17 logical source tables derived from the test tables
   sources.store       staging (lineage cut) and dated, rerun-safe sinks
   functions.scalars   column expressions (buckets, keys, dates, ratios)
-  operators.joins     range_join, count_upto, or_range_join, merge_features
+  operators.joins     range_join, count_upto, or_range_join
   operators.aggs      cond_sums, distinct_count, deterministic_mode
   plans.features      feature builders C1-C12
   plans.scoring       scoring set, linear-logistic and Spark ML scoring

@@ -4,7 +4,6 @@
 ``or_range_join``  disjunctive key (phone OR email) + date interval (J6)
 ``count_upto``     per-key running totals looked up at a date (as-of lookup),
                    used where an interval join would emit all pairs of a key
-``merge_features`` wide left-join merge onto a base grain (J10)
 
 All of them are compositions of DataFrame joins, aggregates and windows whose
 windows only ever hold one key's distinct days, never one key's rows.
@@ -91,47 +90,49 @@ def count_upto(
     1. events are pre-aggregated to one row per (key, day) (map-side combine);
     2. a window per key turns them into running totals; the window holds one
        key's distinct days (bounded by the calendar), not its rows;
-    3. each running total is valid on [day, next day - 1]: a step;
-    4. every point is joined to its key's summary (first day, last day,
-       grand totals): points before the first day get 0, points on or after
-       the last day get the grand totals, the rest find their step with the
-       day-bucketed interval join, so a hot key spreads over many tasks.
+    3. the days of one (key, bucket of days) become a sorted array of at most
+       ``bucket_days`` entries, repeated for the empty buckets behind it;
+    4. one equi join on (key, bucket) finds a point's array, and the last
+       entry on or before the point is picked within the row, so a hot key
+       spreads over its buckets.
 
     Every point row comes out exactly once, with one extra column per measure
     (``prefix + name``), never NULL. Point rows may repeat; each copy is kept.
+    A point dated NULL matches nothing (0); events dated NULL count nowhere.
     """
     names = list(measures)
-    daily = events.groupBy(*keys, F.col(event_day).alias("__d")).agg(
+    daily = events.filter(F.col(event_day).isNotNull()).groupBy(*keys, F.col(event_day).alias("__d")).agg(
         *[F.sum(e).alias(n) for n, e in measures.items()]
     )
-    w = Window.partitionBy(*keys).orderBy("__d")
-    steps = daily.select(
+    days = Window.partitionBy(*keys).orderBy("__d").rowsBetween(Window.unboundedPreceding, 0)
+    running = daily.select(
         *keys,
-        F.col("__d").alias("__from"),
-        F.date_sub(F.lead("__d").over(w), 1).alias("__to"),
-        *[F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(n) for n in names],
+        F.struct("__d", *[F.sum(n).over(days).cast("long").alias(n) for n in names]).alias("__e"),
+        _bucket(day_number(F.col("__d")), bucket_days).alias("__b"),
     )
-    summary = daily.groupBy(*keys).agg(
-        F.min("__d").alias("__first"),
-        F.max("__d").alias("__last"),
-        *[F.sum(n).alias("__tot_" + n) for n in names],
+    filled = running.groupBy(*keys, "__b").agg(F.sort_array(F.collect_list("__e")).alias("__a"))
+    buckets = Window.partitionBy(*keys).orderBy("__b")
+    # totals before the bucket's first day, and the next bucket that has days
+    steps = filled.select(
+        *keys,
+        "__b",
+        "__a",
+        F.element_at(F.lag("__a").over(buckets), -1).alias("__open"),
+        (F.lead("__b").over(buckets) - 1).alias("__until"),
+    )
+    final = steps.filter(F.col("__until").isNull()).select(*keys, F.col("__b").alias("__top"))
+    steps = steps.withColumn("__b", F.explode(F.sequence("__b", F.coalesce("__until", "__b")))).drop("__until")
+    # points behind a key's last bucket look there
+    top = points.join(final, list(keys), "left").withColumn(
+        "__b", F.least(_bucket(day_number(F.col(at)), bucket_days), F.col("__top"))
     )
-    tagged = points.join(summary, list(keys), "left")
-    first, last = F.col("__first"), F.col("__last")
-    at_c = F.col(at)
-    before = tagged.filter(first.isNull() | (at_c < first)).select(
-        *points.columns, *[F.lit(0).cast("long").alias(prefix + n) for n in names]
+    got = top.join(steps, [*keys, "__b"], "left")
+    pick = F.coalesce(
+        F.try_element_at(F.filter("__a", lambda e: e["__d"] <= F.col(at)), F.lit(-1)), F.when(F.col(at).isNotNull(), F.col("__open"))
     )
-    after = tagged.filter(at_c >= last).select(
-        *points.columns, *[F.col("__tot_" + n).cast("long").alias(prefix + n) for n in names]
+    return got.withColumn("__pick", pick).select(
+        *points.columns, *[F.coalesce(F.col("__pick")[n], F.lit(0)).cast("long").alias(prefix + n) for n in names]
     )
-    inside = tagged.filter((at_c >= first) & (at_c < last)).select(*points.columns)
-    # the steps are the intervals, the points probe them: exactly one step
-    # (from <= at <= to) holds each inside point
-    looked = range_join(
-        steps.filter(F.col("__to").isNotNull()), inside, keys, "__from", "__to", at, bucket_days
-    ).select(*points.columns, *[F.col(n).cast("long").alias(prefix + n) for n in names])
-    return before.unionByName(after).unionByName(looked)
 
 
 def or_range_join(
@@ -159,15 +160,3 @@ def or_range_join(
         legs.append(range_join(l1, r1, [k], lo, hi, point, bucket_days).drop(k))
     u = reduce(lambda a, b: a.unionByName(b), legs)
     return u.dropDuplicates(list(dedupe_on))
-
-
-def merge_features(base: DataFrame, parts: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
-    """Left-join each feature frame onto ``base`` on its key list.
-
-    Every part must be unique on its keys (checked by construction in the
-    builders), so the base grain is preserved.
-    """
-    out = base
-    for df, on in parts:
-        out = out.join(df, list(on), "left")
-    return out

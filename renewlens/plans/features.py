@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from renewlens import params as P
@@ -274,7 +274,8 @@ def prior_packages(base: DataFrame, src, p: P.FeatureParams = P.FeatureParams())
     produced by min start / max end, but handled for exactness) are counted
     with a direct join on the seller.
     """
-    prev = previous_packages(src)
+    # a NULL date satisfies neither bound
+    prev = previous_packages(src).filter(F.col("prev_start").isNotNull() & F.col("prev_end").isNotNull())
     pts = base_packages(base, "package_start_date", "package_end_date").withColumns(
         {
             "__x": F.date_sub("package_end_date", p.prior_end_margin_days + 1),
@@ -609,19 +610,30 @@ def owner_experience(base: DataFrame, src, p: P.FeatureParams = P.FeatureParams(
         F.to_date("max_end_datetime").alias("__end"),
         _renewed_flag(F.col("renewal_window")).alias("__flag"),
     )
-    distinct_rows = hist.select("account_owner_id", "opportunity_id", "__end").dropDuplicates().select(
-        "account_owner_id", "__end", F.lit(1).alias("__n"), F.lit(0).alias("__f")
+    ends = (
+        hist.filter(F.col("__end").isNotNull()).select("account_owner_id", "opportunity_id", "__end").dropDuplicates()
+        .withColumn("__prev", F.lag("__end").over(Window.partitionBy("account_owner_id", "opportunity_id").orderBy("__end")))
     )
-    all_rows = hist.select("account_owner_id", "__end", F.lit(0).alias("__n"), F.col("__flag").alias("__f"))
-    ev = distinct_rows.unionByName(all_rows)
+    # a package with several ends counts once per window: its ends in the window
+    # less the neighbouring pairs inside it. Pairs further apart than the window
+    # never fit, and of the others one with its first end before the window has
+    # its second not after it, so both numbers are running counts.
+    pairs = ends.filter(F.datediff("__end", "__prev") <= p.owner_history_days)
+
+    def marks(df: DataFrame, day: str, n: int, flag=F.lit(0)) -> DataFrame:
+        return df.select("account_owner_id", F.col(day).alias("__end"), F.lit(n).alias("__n"), flag.alias("__f"))
+
+    rows = marks(ends, "__end", 1).unionByName(marks(hist, "__end", 0, F.col("__flag")))
+    ev_hi = rows.unionByName(marks(pairs, "__end", -1))
+    ev_lo = rows.unionByName(marks(pairs, "__prev", -1))
     pts = (
         base.select("account_owner_id", "opportunity_id", "package_start_date", "package_end_date", "onefourth_cutoff_date", "seller_uuid")
         .dropDuplicates()
         .withColumn("__lo", F.date_sub("onefourth_cutoff_date", p.owner_history_days + 1))
     )
     meas = {"n": F.col("__n"), "f": F.col("__f")}
-    hi = count_upto(pts, ev, ["account_owner_id"], "onefourth_cutoff_date", "__end", meas, prefix="hi_")
-    both = count_upto(hi, ev, ["account_owner_id"], "__lo", "__end", meas, prefix="lo_")
+    hi = count_upto(pts, ev_hi, ["account_owner_id"], "onefourth_cutoff_date", "__end", meas, prefix="hi_")
+    both = count_upto(hi, ev_lo, ["account_owner_id"], "__lo", "__end", meas, prefix="lo_")
     n = F.col("hi_n") - F.col("lo_n")
     f = F.col("hi_f") - F.col("lo_f")
     per = both.select(

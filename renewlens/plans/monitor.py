@@ -93,7 +93,7 @@ def daily_run(spark: SparkSession, src, root: str, p: P.FeatureParams = P.Featur
         "prediction_history": f"{root}/prediction_reco_historical",
     }
     ft = C.feature_table(src, p)
-    store.write_dated(ft, paths["features_repository"], "feature_creation_date")
+    store.write_dated(ft, paths["features_repository"], "feature_creation_date", p.as_of)
     latest = spark.read.parquet(paths["features_repository"]).filter(F.col("feature_creation_date") == F.lit(p.as_of))
     model = S.synthetic_model() if model is None else model
     scored = store.stage(S.score_linear(S.scoring_set(latest), model), "scored")
@@ -103,5 +103,5 @@ def daily_run(spark: SparkSession, src, root: str, p: P.FeatureParams = P.Featur
     if append_history:
         store.append_history(hist, paths["prediction_history"])
     else:
-        store.write_dated(hist, paths["prediction_history"], "model_run_date")
+        store.write_dated(hist, paths["prediction_history"], "model_run_date", p.as_of)
     return paths

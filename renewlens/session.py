@@ -38,12 +38,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is. Only when it is unset (tests, local runs) a fresh scratch
-    folder is created for it.
+    used as is. Only in local mode, where driver and executors are one
+    process, an unset folder is replaced by a fresh scratch folder; on any
+    other master it is an error, as a folder of the driver is not shared.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
+    if not current and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not current:
         current = tempfile.mkdtemp(prefix="renewlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)

@@ -26,18 +26,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_dated(df: DataFrame, path: str, date_col: str) -> None:
+def write_dated(df: DataFrame, path: str, date_col: str, day=None) -> None:
     """Replace exactly the run dates present in ``df`` (dynamic partition
     overwrite), leaving every other date as it was: a rerun on the same day
     replaces that day only, in one commit (the notebook deletes, then inserts).
+    With ``day`` given, that day's old rows go even if ``df`` has none for it.
     """
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy(date_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    if day is not None and df.filter(F.col(date_col) == F.lit(day)).isEmpty():
+        clear_date(df.sparkSession, path, date_col, day)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path)
 
 
 def clear_date(spark: SparkSession, path: str, date_col: str, day) -> None:

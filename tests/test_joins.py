@@ -87,3 +87,11 @@ def test_aggregation_helpers(spark):
     assert [(r.na, r.nb, r.nz) for r in sums] == [(0, 1, 0), (2, 2, 0)]
     tie = spark.createDataFrame([("s", "b"), ("s", "a"), ("s", "a"), ("s", "b")], "k string, v string")
     assert deterministic_mode(tie, ["k"], "v", "m").collect()[0].m == "a"
+
+
+def test_count_upto_nulls(spark):
+    points = spark.createDataFrame([("a", dt.date(2024, 3, 1)), ("a", None), ("b", dt.date(2024, 3, 1))], "k string, at date")
+    events = spark.createDataFrame([("a", dt.date(2024, 1, 1)), ("a", None), ("a", dt.date(2025, 1, 1))], "k string, day date")
+    got = count_upto(points, events, ["k"], "at", "day", {"n": F.lit(1)})
+    assert sorted(((r.k, r.at, r.n) for r in got.collect()), key=str) == sorted(
+        [("a", dt.date(2024, 3, 1), 1), ("a", None, 0), ("b", dt.date(2024, 3, 1), 0)], key=str)

@@ -40,4 +40,4 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert len(df.columns) == 65 and df.count() >= 0
+    assert len(df.columns) == 65 and df.count() > 0

@@ -21,6 +21,15 @@ def test_write_dated_is_idempotent(spark):
     assert spark.read.parquet(path).count() == 3
 
 
+def test_empty_rerun_clears_the_day(spark):
+    path = tempfile.mkdtemp(prefix="renewlens-repo-") + "/repo"
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    schema = "feature_creation_date date, opportunity_id long"
+    write_dated(spark.createDataFrame([(d1, 1), (d1, 2), (d2, 3)], schema), path, "feature_creation_date")
+    write_dated(spark.createDataFrame([], schema), path, "feature_creation_date", d1)
+    assert [tuple(r) for r in spark.read.parquet(path).select("feature_creation_date", "opportunity_id").collect()] == [(d2, 3)]
+
+
 def test_stage_round_trip(spark):
     df = spark.range(10).withColumnRenamed("id", "x")
     assert sorted(r.x for r in stage(df, "t").collect()) == list(range(10))
