@@ -65,8 +65,8 @@ def counts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
             owner[-1] = docs[-1]
         code = flat[:-2] << np.uint32(16) | flat[1:-1] << np.uint32(8) | flat[2:] if size > 2 else np.empty(0, np.uint32)
         dim = ((code * np.uint32(2654435761)) >> np.uint32(20)).astype(np.int64)
-        own = owner[1:-1] if size > 2 else np.empty(0, np.int64)
-        c = np.bincount(own * DIMS + dim, minlength=(hi - lo) * DIMS).reshape(hi - lo, DIMS)
+        mid = flat[1:-1] != 0x20  # trigrams around a letter lie in one text
+        c = np.bincount(owner[1:-1][mid] * DIMS + dim[mid], minlength=(hi - lo) * DIMS).reshape(hi - lo, DIMS)
         yield lo, hi, c
         lo = hi
 

@@ -3,8 +3,8 @@ regression on hashed character n-grams of host and path.
 
 Feature hashing, training and scoring are Spark ML and SQL functions. The
 model is trained on a small labelled URL table (a parameter); the default one
-is spelled out below by rule, with the same hosts' endings, prefixes and paths
-in both classes, so that only the telling part of a host can weigh.
+is spelled out below by rule, with the same few endings, prefixes and paths for
+hosts of both classes, so that only the telling part of a host can weigh.
 """
 
 from __future__ import annotations
@@ -53,8 +53,9 @@ def default_labels(spark: SparkSession) -> DataFrame:
     rows = []
     for label, stems in ((1.0, BLOCKED), (0.0, ALLOWED)):
         for i, stem in enumerate(stems):
-            for j, (prefix, end) in enumerate((("", "example.com"), ("www.", "example.org"), ("blog.", "example.net"), ("m.", "example.com"))):
-                rows.append((f"https://{prefix}{stem}.{end}/{('en', 'fr', 'de', 'es')[(i + j) % 4]}/{(37 * i + 101 * j) % 1000}", label))
+            for j, prefix in enumerate(("", "www.", "blog.", "m.")):
+                end = ("example.com", "example.org", "example.net")[(i + j) % 3]
+                rows.append((f"https://{prefix}{stem}.{end}/{('en/12', 'fr/345', 'de/67', 'es/890')[(i // 3 + j) % 4]}", label))
     return spark.createDataFrame(rows, "url string, label double")
 
 
@@ -81,7 +82,7 @@ def features(urls: DataFrame, url: str = "url") -> DataFrame:
 
 def train(labelled: DataFrame) -> LogisticRegressionModel:
     """A model from (url, label 0 or 1); one partition, so it repeats exactly."""
-    return LogisticRegression(featuresCol="__features", labelCol="label", regParam=1e-3, maxIter=60).fit(
+    return LogisticRegression(featuresCol="__features", labelCol="label", regParam=1e-4, maxIter=100).fit(
         features(labelled.select("url", "label")).coalesce(1))
 
 
