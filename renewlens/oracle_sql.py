@@ -619,7 +619,7 @@ cands AS (
 ranked AS (
   SELECT *, prob - initial_prob AS lift, w * (new_value - v) AS dz,
     CASE WHEN v = 0 THEN 100.0 ELSE abs((new_value - v) / v * 100.0) END AS pct_change,
-    row_number() OVER (PARTITION BY opportunity_id ORDER BY prob - initial_prob DESC, ordinal) AS rk
+    row_number() OVER (PARTITION BY opportunity_id ORDER BY round(prob - initial_prob, 9) DESC, ordinal) AS rk
   FROM (FROM cands WHERE prob > initial_prob QUALIFY row_number() OVER (PARTITION BY opportunity_id, feature ORDER BY pos) = 1)
 )"""
     ]
@@ -680,6 +680,19 @@ SELECT g.opportunity_id, g.feature, r.v AS original_value, round(r.new_value, 6)
   round(r.new_value - r.v, 6) AS delta
 FROM greedy g JOIN ranked r ON r.opportunity_id = g.opportunity_id AND r.feature = g.feature
 WHERE g.took"""
+    q["recommendation_any_model"] = q["recommendation_summary"]
+    inputs = ", ".join(_INPUTS)
+    q["recommendation_values"] = _with(*greedy) + f"""
+SELECT u.opportunity_id, u.feature, u.original_value, round(coalesce(a.new_value, u.original_value), 6) AS new_value,
+  round(a.new_value - a.v, 6) AS delta
+FROM (UNPIVOT (SELECT opportunity_id, {inputs} FROM scored) ON {inputs} INTO NAME feature VALUE original_value) u
+LEFT JOIN (SELECT r.* FROM ranked r JOIN greedy g ON g.took AND g.opportunity_id = r.opportunity_id AND g.feature = r.feature) a
+  ON a.opportunity_id = u.opportunity_id AND a.feature = u.feature"""
+    q["prediction_history"] = q["recommendation_summary"].replace(
+        "\nSELECT s.opportunity_id, round(s.initial_prob", ", summary AS (\nSELECT s.opportunity_id, round(s.initial_prob") + f""")
+SELECT {AS_OF} AS model_run_date, opportunity_id, initial_prob, final_prob, probability_lift, already_above_threshold,
+  CAST({len(_INPUTS)} AS BIGINT) AS n_original, CAST({len(_INPUTS)} AS BIGINT) AS n_new, n_adjustments, model_name
+FROM summary, (VALUES (NULL), ('linear')) AS appended(model_name)"""
     return q
 
 
@@ -719,6 +732,8 @@ SELECT opportunity_id, seller_uuid, city, total_leads_25pctduration FROM feature
 ORDER BY total_leads_25pctduration DESC, opportunity_id ASC LIMIT 20"""
     q["feature_repository"] = feats + """
 SELECT feature_creation_date, count(DISTINCT opportunity_id) AS cnt FROM features_latest GROUP BY 1"""
+    q["repository_empty_rerun"] = feats + f"""
+SELECT CAST({AS_OF} - 1 AS DATE) AS feature_creation_date, count(DISTINCT opportunity_id) AS cnt FROM features_latest"""
     q["score_monitor"] = _with(*(features_latest_ctes() + _scoring_ctes())) + f"""
 SELECT {AS_OF} AS model_run_date, count(DISTINCT opportunity_id) AS cnt_opportunities,
   CAST(sum(CASE WHEN initial_prob >= 0.25 THEN 1 ELSE 0 END) AS BIGINT) AS percent_renewals

@@ -371,45 +371,68 @@ def lead_window(base: DataFrame, leads: DataFrame, p: P.FeatureParams = P.Featur
     return range_join(pk, lb, ["seller_uuid"], "package_start_date", "onefourth_cutoff_date", "lead_date", p.bucket_days)
 
 
+def _variants() -> Column:
+    """The dimension rows a listing was seen with: few, and mostly one."""
+    return F.collect_set(F.struct("listing_price", "property_type", "bhk_type")).alias("__variants")
+
+
+def _distinct(*fields: str) -> Column:
+    """Distinct values (NULL included) of fields of the listing's variants."""
+    return F.array_distinct(F.transform("__variants", lambda x: x[fields[0]] if len(fields) == 1 else F.struct(*[x[c] for c in fields])))
+
+
+def _holding(array: str, values, names) -> list[Column]:
+    """Rows whose array holds a value, per value."""
+    return [F.sum(F.coalesce(F.array_contains(array, v), F.lit(False)).cast("long")).alias(n) for v, n in zip(values, names, strict=True)]
+
+
 def lead_grain_counts(win: DataFrame) -> DataFrame:
     """Lead counts per package: total and by property / bedroom / channel.
 
-    One de-duplication at lead grain (listing, channel, lead) replaces the
-    notebook's per-category de-duplications; they agree because a listing has
-    one price, property type and bedroom type per seller.
+    Each measure counts distinct tuples of its own: (listing, channel, lead)
+    with price and property type for the total, with property type for the
+    property and channel splits, with bedroom type for the bedroom split. One
+    shuffle on (listing, channel, lead) serves them all, the few dimension rows
+    of a listing travelling as a set.
     """
-    g = win.select(*PKG, "listing_id", "listing_price", "property_type", "bhk_type", "lead_generator_new", "lead_id").dropDuplicates()
+    seen = win.groupBy(*PKG, "listing_id", "lead_generator_new", "lead_id").agg(_variants())
+    g = seen.select(
+        *PKG, "lead_generator_new", "lead_id", F.size(_distinct("listing_price", "property_type")).alias("__priced"),
+        _distinct("property_type").alias("__ptypes"), _distinct("bhk_type").alias("__bhks"),
+    )
     return g.groupBy(*PKG).agg(
-        F.count("lead_id").alias("total_leads_25pctduration"),
-        *cond_sums("property_type", P.PROPERTY_TYPES, PTYPE_LEAD_COLS),
-        *cond_sums("bhk_type", P.BHK_TYPES, BHK_LEAD_COLS),
-        *cond_sums("lead_generator_new", P.CHANNELS, CHANNEL_COLS),
+        F.sum(F.when(F.col("lead_id").isNotNull(), F.col("__priced")).otherwise(0)).alias("total_leads_25pctduration"),
+        *_holding("__ptypes", P.PROPERTY_TYPES, PTYPE_LEAD_COLS),
+        *_holding("__bhks", P.BHK_TYPES, BHK_LEAD_COLS),
+        *cond_sums("lead_generator_new", P.CHANNELS, CHANNEL_COLS, F.size("__ptypes")),
     )
 
 
 def listing_grain_counts(win: DataFrame) -> DataFrame:
     """Distinct listings per package (total, by property / bedroom) and the
-    sum of their prices."""
-    g = win.select(*PKG, "listing_id", "listing_price", "property_type", "bhk_type").dropDuplicates()
+    sum of prices over distinct (listing, price, property type)."""
+    seen = win.groupBy(*PKG, "listing_id").agg(_variants())
+    price = F.aggregate(_distinct("listing_price", "property_type"), F.lit(0.0), lambda a, x: a + F.coalesce(x["listing_price"], F.lit(0.0)))
+    g = seen.select(*PKG, "listing_id", price.alias("__price"), _distinct("property_type").alias("__ptypes"), _distinct("bhk_type").alias("__bhks"))
     return g.groupBy(*PKG).agg(
         F.count("listing_id").alias("tot_listings_25pctduration"),
-        F.sum("listing_price").alias("tot_listing_price_25pctduration"),
-        *cond_sums("property_type", P.PROPERTY_TYPES, PTYPE_LISTING_COLS),
-        *cond_sums("bhk_type", P.BHK_TYPES, BHK_LISTING_COLS),
+        F.sum("__price").alias("tot_listing_price_25pctduration"),
+        *_holding("__ptypes", P.PROPERTY_TYPES, PTYPE_LISTING_COLS),
+        *_holding("__bhks", P.BHK_TYPES, BHK_LISTING_COLS),
     )
 
 
-def lead_features(base: DataFrame, leads: DataFrame, p: P.FeatureParams = P.FeatureParams()) -> DataFrame:
-    """The 27 first-quarter lead/listing features per package, 0 when none."""
+def lead_features(base: DataFrame, leads: DataFrame, p: P.FeatureParams = P.FeatureParams(), columns=None) -> DataFrame:
+    """The 27 first-quarter lead/listing features per package (or the named
+    ones, building only the grain they need), 0 when none."""
+    columns = LEAD_FEATURE_COLS if columns is None else list(columns)
     win = lead_window(base, leads, p)
-    lc = lead_grain_counts(win)
-    ls = listing_grain_counts(win)
     # joined back on (seller, package): a NULL city must not lose its counts
-    pk = base.select(*PKG).dropDuplicates()
-    out = pk.join(lc.drop("city"), SP, "left").join(ls.drop("city"), SP, "left")
-    return out.select(
-        *PKG, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in LEAD_FEATURE_COLS]
-    )
+    out = base.select(*PKG).dropDuplicates()
+    for counts in (lead_grain_counts(win), listing_grain_counts(win)):
+        if set(columns) & set(counts.columns):
+            out = out.join(counts.drop("city"), SP, "left")
+    return out.select(*PKG, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in columns])
 
 
 # ---------------------------------------------------------------------------

@@ -96,7 +96,7 @@ def daily_run(spark: SparkSession, src, root: str, p: P.FeatureParams = P.Featur
     store.write_dated(ft, paths["features_repository"], "feature_creation_date", p.as_of)
     latest = spark.read.parquet(paths["features_repository"]).filter(F.col("feature_creation_date") == F.lit(p.as_of))
     model = S.synthetic_model() if model is None else model
-    scored = store.stage(S.score_linear(S.scoring_set(latest), model), "scored")
+    scored = S.score_linear(S.scoring_set(latest), model)
     rec = R.recommend(scored, model, search).drop("applied_features", "applied_adjustments")
     rec.write.mode("overwrite").parquet(paths["prediction_latest"])
     hist = prediction_columns(spark.read.parquet(paths["prediction_latest"]), p.as_of)

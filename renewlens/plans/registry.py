@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from renewlens import params as P
 from renewlens.plans import features as C
@@ -85,11 +86,8 @@ def q_feature_table(spark, sf_dir):
 def _scored(spark, sf_dir):
     from renewlens.plans import scoring as S
 
-    # the scored table is stored (parquet under spark.checkpoint.dir; the
-    # notebook stores its feature table too) so the search starts from stored
-    # rows and never re-derives the logit
     ft = C.feature_table(_src(spark, sf_dir), FP)
-    return stage(S.score_linear(S.scoring_set(ft), S.synthetic_model()), "scored")
+    return S.score_linear(S.scoring_set(ft), S.synthetic_model())
 
 
 def q_scoring_set(spark, sf_dir):
@@ -148,7 +146,7 @@ LEAD_SUBSETS = {
 def _lead_subset(cols):
     def q(spark, sf_dir):
         s = _src(spark, sf_dir)
-        return C.lead_features(C.package_base(s, FP), C.lead_base(s, FP), FP).select(*C.PKG, *cols)
+        return C.lead_features(C.package_base(s, FP), C.lead_base(s, FP), FP, cols)
 
     return q
 
@@ -244,15 +242,64 @@ def q_score_gbt(spark, sf_dir):
 
 def q_recommendations_gbt(spark, sf_dir):
     """M5-M10 with a Spark ML model: the generic (model-agnostic) search,
-    GBT probabilities, linear attributions as the explainer. Rows-only."""
+    GBT probabilities, the direction of a step from the model itself. Rows-only."""
     from renewlens.plans import recommend as R, recommend_generic as G, scoring as S
 
     src = _src(spark, sf_dir)
     ss = stage(S.scoring_set(C.feature_table(src, FP)), "scoring_set")
     model = S.fit_gbt(ss, S.renewal_labels(src))
-    scored = stage(S.score_with_pipeline(ss, model), "scored_gbt")
-    rec = G.recommend_with_model(scored, G.pipeline_scorer(model), S.synthetic_model().attribution)
-    return R.recommendation_summary(rec)
+    scorer = G.pipeline_scorer(model)
+    scored = G.with_effects(stage(S.score_with_pipeline(ss, model), "scored_gbt"), scorer)
+    return R.recommendation_summary(G.recommend_with_model(scored, scorer, G.effect))
+
+
+def q_recommendation_any_model(spark, sf_dir):
+    """M8 by the search for any model, given the linear one: the same rows as
+    ``recommendation_summary``."""
+    from renewlens.plans import recommend as R, recommend_generic as G, scoring as S
+
+    model = S.synthetic_model()
+    return R.recommendation_summary(G.recommend_with_model(_scored(spark, sf_dir), G.linear_scorer(model), model.attribution))
+
+
+def q_recommendation_values(spark, sf_dir):
+    from renewlens.plans import recommend as R, scoring as S
+
+    return R.recommendation_values(R.recommend(_scored(spark, sf_dir), S.synthetic_model()))
+
+
+def q_repository_empty_rerun(spark, sf_dir):
+    """K3 + K5: two run dates are stored, then the later one runs again with no
+    row, which clears it and nothing else."""
+    import datetime as dt
+
+    from renewlens.plans import monitor as M
+    from renewlens.sources.store import write_dated
+
+    path, day = _fresh_root(spark, "features_rerun"), "feature_creation_date"
+    ft = stage(C.feature_table(_src(spark, sf_dir), FP), "features_latest")
+    write_dated(ft, path, day, FP.as_of)
+    write_dated(ft.withColumn(day, F.lit(FP.as_of - dt.timedelta(days=1))), path, day)
+    write_dated(ft.limit(0), path, day, FP.as_of)
+    return M.runs_overview(spark.read.parquet(path))
+
+
+def q_prediction_history(spark, sf_dir):
+    """K7 + Q8: predictions appended twice, the second time with a new column,
+    and read with the schemas merged."""
+    from renewlens.plans import monitor as M, recommend as R, scoring as S
+    from renewlens.sources.store import append_history, read_history
+
+    path = _fresh_root(spark, "prediction_history")
+    rec = stage(M.prediction_columns(R.recommend(_scored(spark, sf_dir), S.synthetic_model()), FP.as_of), "predictions")
+    append_history(rec, path)
+    append_history(rec.withColumn("model_name", F.lit("linear")), path)
+    digits = S.PROB_DIGITS
+    return read_history(spark, path).select(
+        "model_run_date", "opportunity_id", *[F.round(c, digits).alias(c) for c in ("initial_prob", "final_prob", "probability_lift")],
+        "already_above_threshold", F.size("original_values").cast("long").alias("n_original"),
+        F.size("new_values").cast("long").alias("n_new"), F.size("adjustments").cast("long").alias("n_adjustments"), "model_name",
+    )
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -279,6 +326,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "recommendation_summary": q_recommendation_summary,
         "recommendation_adjustments": q_recommendation_adjustments,
         "recommendations_gbt": q_recommendations_gbt,
+        "recommendation_any_model": q_recommendation_any_model,
+        "recommendation_values": q_recommendation_values,
+        "repository_empty_rerun": q_repository_empty_rerun,
+        "prediction_history": q_prediction_history,
         "package_recency_rank": q_package_recency_rank,
         **{name: _lead_subset(cols) for name, cols in LEAD_SUBSETS.items()},
         "listing_buckets": q_listing_buckets,
