@@ -492,26 +492,35 @@ CITY_DAILY_COLS = ["active_sellers_daily", "tot_listings_daily", "total_leads_da
 
 def city_daily_activity(leads: DataFrame) -> DataFrame:
     """Per city and lead day: active sellers, listings, leads and their
-    bedroom-type split. Each distinct count is a de-duplication followed by a
-    plain count, all keyed by (city, day) so the final joins are co-partitioned."""
+    bedroom-type split. Each measure counts distinct tuples of its own; a lead
+    row gives one tuple per measure, and all are de-duplicated in one shuffle
+    and counted in another."""
     k = ["city", "lead_date"]
     lb = leads.filter(F.col("city").isNotNull())
-    bhk_listings = (
-        lb.select(*k, "bhk_type", "listing_id").dropDuplicates()
-        .groupBy(*k).agg(*cond_sums("bhk_type", P.BHK_TYPES, CITY_BHK_LISTING))
-    )
-    bhk_leads = (
-        lb.select(*k, "listing_id", "bhk_type", "lead_generator_new", "lead_id").dropDuplicates()
-        .groupBy(*k).agg(*cond_sums("bhk_type", P.BHK_TYPES, CITY_BHK_LEAD))
-    )
-    totals = (
-        lb.select(*k, "listing_id", "listing_price", "property_type", "lead_id", "lead_generator_new").dropDuplicates()
-        .groupBy(*k).agg(F.count("lead_id").alias("total_leads_daily"))
-    )
-    listings = distinct_count(lb, k, "listing_id", "tot_listings_daily")
-    sellers = distinct_count(lb, k, "seller_uuid", "active_sellers_daily")
-    out = sellers.join(listings, k, "left").join(totals, k, "left").join(bhk_listings, k, "left").join(bhk_leads, k, "left")
-    return out.select(*k, *CITY_DAILY_COLS)
+    tuples = {
+        "sellers": ["seller_uuid"],
+        "listings": ["listing_id"],
+        "leads": ["listing_id", "listing_price", "property_type", "lead_id", "lead_generator_new"],
+        "bhk_listings": ["bhk_type", "listing_id"],
+        "bhk_leads": ["bhk_type", "listing_id", "lead_generator_new", "lead_id"],
+    }
+    cols = sorted({c for cs in tuples.values() for c in cs})
+    parts = [
+        F.struct(F.lit(m).alias("measure"), *[(F.col(c) if c in cs else F.lit(None).cast(lb.schema[c].dataType)).alias(c) for c in cols])
+        for m, cs in tuples.items()
+    ]
+    seen = lb.select(*k, F.explode(F.array(*parts)).alias("t")).select(*k, "t.*").dropDuplicates()
+
+    def of(measure: str, present: str) -> Column:
+        return F.when((F.col("measure") == measure) & F.col(present).isNotNull(), 1).otherwise(0)
+
+    return seen.groupBy(*k).agg(
+        F.sum(of("sellers", "seller_uuid")).alias("active_sellers_daily"),
+        F.sum(of("listings", "listing_id")).alias("tot_listings_daily"),
+        F.sum(of("leads", "lead_id")).alias("total_leads_daily"),
+        *cond_sums("bhk_type", P.BHK_TYPES, CITY_BHK_LISTING, of("bhk_listings", "bhk_type")),
+        *cond_sums("bhk_type", P.BHK_TYPES, CITY_BHK_LEAD, of("bhk_leads", "bhk_type")),
+    ).select(*k, *CITY_DAILY_COLS)
 
 
 CITY_MEDIAN_SRC = [
@@ -684,44 +693,38 @@ def owner_experience(base: DataFrame, src, p: P.FeatureParams = P.FeatureParams(
 
 def competitor_listings(base: DataFrame, src, p: P.FeatureParams = P.FeatureParams()) -> DataFrame:
     """Distinct (posted date, listing) crawled rows matched to the package's
-    seller by phone OR e-mail, posted in [start - 90, quarter cut-off]."""
+    seller by phone OR e-mail, posted in [start - 90, quarter cut-off].
+
+    A package with an e-mail of at most five characters matches by it only
+    crawled rows whose phone, or whose e-mail in a longer spelling, belongs to
+    some base seller; no other match needs that test. NULL keys join nothing.
+    """
     crawl = src.crawled_listings.select(
         X.phone_key(F.col("mobile")).alias("__phone"),
         X.email_key(F.col("email")).alias("__email"),
         "listing_posted_date",
         "listing_id",
     )
-    phones = base.select(F.col("phone_number").cast("string").alias("__phone")).dropDuplicates().withColumn("__hp", F.lit(True))
-    emails = (
-        base.filter(F.length("email") > 5)
-        .select(X.email_key(F.col("email")).alias("__email"))
-        .dropDuplicates()
-        .withColumn("__he", F.lit(True))
-    )
-    # crawled rows whose phone or e-mail belongs to any base seller
-    crawled = (
-        crawl.join(phones, "__phone", "left")
-        .join(emails, "__email", "left")
-        .filter(F.col("__hp") | F.col("__he"))
-        .drop("__hp", "__he")
-    )
+    mail, long_mail = X.email_key(F.col("email")), F.length("email") > 5
     pk = base.select(
         *PKG,
         F.col("phone_number").cast("string").alias("__phone_b"),
-        X.email_key(F.col("email")).alias("__email_b"),
+        F.when(long_mail, mail).alias("__long_b"),
+        F.when(~long_mail, mail).alias("__short_b"),
         F.date_sub("package_start_date", p.competitor_lead_days).alias("__lo"),
         "onefourth_cutoff_date",
     ).dropDuplicates()
-    m = or_range_join(
-        pk,
-        crawled,
-        [("__phone_b", "__phone"), ("__email_b", "__email")],
-        "__lo",
-        "onefourth_cutoff_date",
-        "listing_posted_date",
-        dedupe_on=PKG + ["listing_posted_date", "listing_id"],
-        bucket_days=p.bucket_days,
-    )
+
+    def keys(of: str, name: str) -> DataFrame:
+        return pk.select(F.col(of).alias(name)).where(F.col(name).isNotNull()).dropDuplicates()
+
+    short = crawl.where("__email is not null").join(keys("__short_b", "__email"), "__email", "left_semi")
+    known = short.where("__phone is not null").join(keys("__phone_b", "__phone"), "__phone", "left_semi").unionByName(
+        short.join(keys("__long_b", "__email"), "__email", "left_semi"))
+    window = ("__lo", "onefourth_cutoff_date", "listing_posted_date")
+    found = [*PKG, "listing_posted_date", "listing_id"]
+    m = or_range_join(pk, crawl, [("__phone_b", "__phone"), ("__long_b", "__email")], *window, found, p.bucket_days).unionByName(
+        or_range_join(pk, known, [("__short_b", "__email")], *window, found, p.bucket_days)).dropDuplicates(found)
     cnt = m.groupBy(*PKG).agg(F.count("listing_id").alias("__n")).drop("city")
     out = base.select(*PKG).dropDuplicates().join(cnt, SP, "left")
     return out.select(*PKG, F.coalesce("__n", F.lit(0)).cast("long").alias("cnt_listing_other_platforms_25pctduration"))
