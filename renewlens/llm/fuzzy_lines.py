@@ -1,7 +1,6 @@
 """Fuzzy line deduplication by MinHash (operator 9).
 
-Lines of at least ``MIN_CHARS`` characters are compared, equal ones as one
-node. A line's signature holds the least hash of its 12-character shingles in
+All lines with a word are compared, equal ones as one node. A line's signature holds the least hash of its 12-character shingles in
 each of 24 parts of hash space (an empty part takes the next one's), which are
 MinHash values; twelve bands of two of them make candidates (shorter shingles
 are shared by too many unrelated lines). Lines whose sets of 5-character
@@ -34,7 +33,6 @@ from renewlens.llm.graph import connected_components
 from renewlens.llm.omh import compare_families, verify_pairs
 from renewlens.sources.store import stage
 
-MIN_CHARS = 20
 SHINGLE = 5
 THRESHOLD = 0.8
 #: Characters of a shingle of the signatures.
@@ -59,7 +57,15 @@ def char_shingles(column: pa.Array, k: int = SHINGLE) -> Iterator[tuple[int, int
         lens = np.diff(off)
         n = np.maximum(lens - (k - 1), np.minimum(lens, 1))
         whole = np.repeat(off[:-1] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        yield lo, hi, h[whole], np.concatenate([[0], np.cumsum(n)])
+        items = h[whole]
+        short = np.flatnonzero((lens > 0) & (lens < k))
+        if len(short):  # the rolling hash runs on into the next row
+            value, at, size = lens[short].astype(np.uint64), off[:-1][short], lens[short]
+            for j in range(k - 1):
+                has = size > j
+                value[has] = tb.mix(value[has] * np.uint64(0x9E3779B97F4A7C15) + cp[at[has] + j] + np.uint64(1))
+            items[(np.cumsum(n) - n)[short]] = value
+        yield lo, hi, items, np.concatenate([[0], np.cumsum(n)])
 
 
 def shingle_sets(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -104,7 +110,7 @@ def band_keys(items: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def lines_of(docs: DataFrame) -> DataFrame:
     """(doc_id, pos, line, node) of the lines that take part."""
     split = docs.where("text is not null").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    return split.where((F.length("line") >= MIN_CHARS) & F.col("line").rlike(_HAS_WORD)).withColumn("node", F.xxhash64("line"))
+    return split.where(F.col("line").rlike(_HAS_WORD)).withColumn("node", F.xxhash64("line"))
 
 
 def line_links(lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -153,8 +159,8 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     Lines are parts of the text between \\n. Of each class of equal or similar
     lines the first occurrence stays (least doc_id, null first; then position;
-    equal rows count as one document and are treated alike). Lines of under 20
-    characters or without a word stay as they are. A null text stays null, with
+    equal rows count as one document and are treated alike). Lines without a
+    word stay as they are. A null text stays null, with
     0 lines; a text may become empty. An empty table gives an empty one.
     """
     own = [c for c in docs.columns if c not in ("n_lines", "n_removed")]

@@ -124,6 +124,29 @@ def test_fuzzy_lines(docs, corpus):
     assert next(r.n_removed for r in got if r.doc_id == 308) == 39
 
 
+def test_short_lines_take_part(spark):
+    """Lines of any length that hold a word, against brute force."""
+    word = re.compile(r"[^\x20\x09-\x0D]")
+    menu = ["Home", "Menu", "x", "漢字の文章です。", "About the authors", "About the authors.", "  ", ""]
+    rows = [(i, "\n".join([*menu[: 3 + i], " ".join(prose(i, 12)), menu[i % 4]])) for i in range(8)]
+    first: dict = {}
+    for i, t in rows:
+        for p, line in enumerate(t.split("\n")):
+            if word.search(line):
+                first.setdefault(line, (i, p))
+    lines = list(first)
+    sets = [{x[k : k + 5] for k in range(max(len(x) - 4, 1))} for x in lines]
+    roots = _roots(len(lines), [(a, b) for a, b in combinations(range(len(lines)), 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])])
+    best: dict = {}
+    for line, r in zip(lines, roots, strict=True):
+        best[r] = min(best.get(r, first[line]), first[line])
+    keep = {line: best[r] for line, r in zip(lines, roots, strict=True)}
+    want = {i: "\n".join(x for p, x in enumerate(t.split("\n")) if keep.get(x, (i, p)) == (i, p)) for i, t in rows}
+    got = fuzzy_lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.text for r in got} == want
+    assert all(r.n_removed == r.n_lines - len(r.text.split("\n")) for r in got) and sum(r.n_removed for r in got) > 30
+
+
 def test_fuzzy_lines_empty(empty):
     assert fuzzy_lines.dedup_lines(empty).count() == 0
 
@@ -133,6 +156,11 @@ def test_char_shingles_count_code_points():
     assert np.diff(offsets).tolist() == [3, 1, 0, 0] and len(items) == 4
 
 
+def test_shingle_of_a_tiny_line_is_its_own():
+    (_, _, items, _), = fuzzy_lines.char_shingles(pa.array(["ab", "cde", "abc", "def", "ab"]))
+    assert items[0] == items[4] and len(set(items.tolist())) == 4
+
+
 def test_sieve_never_misses(spark):
     rows = spark.range(5000).withColumnRenamed("id", "k")
     got = buckets.sieved(rows, "k", rows.where("k % 50 = 0"), "t").where("__maybe")
