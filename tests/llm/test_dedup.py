@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 from itertools import combinations
 
@@ -127,7 +128,7 @@ def test_fuzzy_lines(docs, corpus):
 def test_short_lines_take_part(spark):
     """Lines of any length that hold a word, against brute force."""
     word = re.compile(r"[^\x20\x09-\x0D]")
-    menu = ["Home", "Menu", "x", "漢字の文章です。", "About the authors", "About the authors.", "  ", ""]
+    menu = ["Home", "Menu", "x", "漢字の文章です。", "About the authors", "About the authors.", "  ", "", "12345678", "123456789"]
     rows = [(i, "\n".join([*menu[: 3 + i], " ".join(prose(i, 12)), menu[i % 4]])) for i in range(8)]
     first: dict = {}
     for i, t in rows:
@@ -161,6 +162,19 @@ def test_shingle_of_a_tiny_line_is_its_own():
     assert items[0] == items[4] and len(set(items.tolist())) == 4
 
 
+def test_lines_at_the_threshold_meet():
+    """Single-character edits at an index of 0.8: all but a few in 10,000 share a band."""
+    rng = random.Random(3)
+
+    def keys(lines):
+        return np.concatenate([fuzzy_lines.band_keys(i, o) for _, _, i, o in fuzzy_lines.char_shingles(pa.array(lines))])
+
+    for size, at in ((8, 8), (12, 12), (49, 20), (55, 20)):
+        x = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz   ") for _ in range(size)) for _ in range(4000)]
+        y = [t[:at] + "0" + t[at + 1 :] for t in x]
+        assert (keys(x) != keys(y)).all(axis=1).sum() <= 3, size
+
+
 def test_sieve_never_misses(spark):
     rows = spark.range(5000).withColumnRenamed("id", "k")
     got = buckets.sieved(rows, "k", rows.where("k % 50 = 0"), "t").where("__maybe")
