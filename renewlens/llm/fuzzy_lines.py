@@ -9,7 +9,7 @@ link is missed with probability (1 - 0.8^4)^20 = 3e-5 at the threshold and
 4e-8 at an index of 0.87 (measured: 1e-4 at most, in lines of 8 characters). A crowded
 bucket is handled as in ``buckets``. Links become components by distributed
 connected components, and one line of each stays: its first occurrence by
-document id and position.
+document id, text hash and position.
 
 Signatures and verification are numpy inside tasks: the same in DataFrame
 functions alone went far beyond the CPU limit (figures in the README).
@@ -111,13 +111,13 @@ def band_keys(items: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, pos, line, node) of the lines that take part."""
-    split = docs.where("text is not null").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    """(doc_id, text_hash, pos, line, node) of the lines that take part."""
+    split = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     return split.where(F.col("line").rlike(_HAS_WORD)).withColumn("node", F.xxhash64("line"))
 
 
 def line_links(lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Links (a, b) between different lines of (doc_id, pos, line, node)."""
+    """Links (a, b) between different lines of (node, line, any others)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,17 +143,19 @@ def line_links(lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def duplicate_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, pos, class_id) of all line occurrences that go: those of lines
-    with copies or near copies, but for the first of each class."""
+    """(doc_id, text_hash, pos, class_id) of all line occurrences that go: those
+    of lines with copies or near copies, but for the first of each class. A
+    document is its id and text."""
+    place = F.struct("doc_id", "text_hash", "pos")
     lines = lines_of(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     comp = connected_components(stage(line_links(lines, threshold), "lines-all"), name="lines-cc")
-    at = lines.select("node", "doc_id", "pos")
-    firsts = stage(at.groupBy("node").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count(F.lit(1)).alias("n")), "lines-firsts")
+    at = lines.select("node", "doc_id", "text_hash", "pos")
+    firsts = stage(at.groupBy("node").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")), "lines-firsts")
     best = stage(firsts.join(comp, "node").groupBy("component").agg(F.min("first").alias("best")), "lines-best")
     fuzzy = comp.join(best, "component").select("node", F.col("component").alias("class_id"), "best")
     exact = firsts.where("n > 1").join(comp, "node", "left_anti").select("node", F.col("node").alias("class_id"), F.col("first").alias("best"))
     classes = stage(fuzzy.unionByName(exact), "lines-classes")
-    return at.join(classes, "node").where(~F.struct("doc_id", "pos").eqNullSafe(F.col("best"))).select("doc_id", "pos", "class_id")
+    return at.join(classes, "node").where(~place.eqNullSafe(F.col("best"))).select("doc_id", "text_hash", "pos", "class_id")
 
 
 def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -161,19 +163,24 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     blank ones included) and n_removed; columns of these names are replaced.
 
     Lines are parts of the text between \\n. Of each class of equal or similar
-    lines the first occurrence stays (least doc_id, null first; then position;
-    equal rows count as one document and are treated alike). Lines without a
+    lines the first occurrence stays (least doc_id, null first; then text hash
+    and position). A document is known by its id and text: different texts under
+    one id, or without one, are documents of their own; equal rows count as one
+    and are treated alike. Lines without a
     word stay as they are. A null text stays null, with
     0 lines; a text may become empty. An empty table gives an empty one.
     """
     own = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     docs = docs.select(*own)
     gone = stage(duplicate_lines(docs, threshold), "lines-gone")
-    lists = stage(gone.groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_set("pos").alias("__gone")), "lines-lists")
-    marked = sieved(docs.withColumn("__doc", F.col("doc_id").cast("long")), "__doc", lists.select("__doc"), "lines-docs")
+    lists = gone.groupBy(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).agg(F.collect_set("pos").alias("__gone"))
+    lists = stage(lists.withColumn("__at", F.xxhash64("__doc", "__hash")), "lines-lists")
+    keyed = docs.withColumns({"__doc": F.col("doc_id").cast("long"), "__hash": F.xxhash64("text")}).withColumn("__at", F.xxhash64("__doc", "__hash"))
+    marked = sieved(keyed, "__at", lists.select("__at"), "lines-docs")
     # documents that lose nothing are not shuffled
     same = marked.where("not __maybe").select(*own, F.array().cast("array<int>").alias("__gone"))
-    some = marked.where("__maybe").alias("m").join(lists.alias("l"), F.col("m.__doc").eqNullSafe(F.col("l.__doc")), "left").select(
+    alike = (F.col("m.__at") == F.col("l.__at")) & F.col("m.__doc").eqNullSafe(F.col("l.__doc")) & (F.col("m.__hash") == F.col("l.__hash"))
+    some = marked.where("__maybe").alias("m").join(lists.alias("l"), alike, "left").select(
         *[F.col(f"m.{c}").alias(c) for c in own], F.coalesce("__gone", F.array().cast("array<int>")).alias("__gone"))
     both = same.unionByName(some)
     fresh = F.expr("transform(array(split(text, '\\n', -1)), p -> array_join(transform(array_except(sequence(0, size(p) - 1), __gone), i -> p[i]), '\\n'))[0]")

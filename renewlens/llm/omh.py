@@ -29,7 +29,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from renewlens.llm import textbatch as tb
@@ -273,17 +273,28 @@ def near_duplicate_links(docs: DataFrame, threshold: float = THRESHOLD, k: int =
     return nodes, links.unionByName(more).distinct()
 
 
+def _node() -> Column:
+    return F.when(F.col("text").isNotNull(), F.xxhash64("text"))
+
+
 def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE) -> DataFrame:
     """One row per document: doc_id, class_id (the least doc_id of its class),
     n_shingles, n_links (verified links of its text to different texts), kept
     (whether it is the one that stays).
 
     A null text is a class of its own (n_shingles and n_links 0). Texts
-    without a word are near nothing but their exact copies. Rows that repeat a
-    doc_id and text share a class. A class whose ids are all null has a null
-    class_id. Other columns of ``docs`` are ignored; an empty table gives an
+    without a word are near nothing but their exact copies. Of a class the
+    document of least doc_id stays, a null one last, and of different texts
+    under it (or without an id) the one of least hash. Rows that repeat a doc_id
+    and text share a class and are kept alike. A class whose ids are all null has
+    a null class_id. Other columns of ``docs`` are ignored; an empty table gives an
     empty table.
     """
+    return _classes(docs, threshold, k).drop("node")
+
+
+def _classes(docs: DataFrame, threshold: float, k: int) -> DataFrame:
+    """``near_duplicate_classes`` with the node of each text."""
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     nodes, links = near_duplicate_links(src, threshold, k)
     comp = connected_components(links, name="omh-all")
@@ -293,26 +304,26 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, k: int
     )
     of = nodes.join(comp, "node", "left").join(degree, "node", "left").select(
         "node", "doc_id", "n_shingles", F.coalesce("component", "node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    least = of.groupBy("component").agg(F.min("doc_id").alias("class_id"))
-    of = stage(of.join(least, "component").select("node", "class_id", "n_shingles", "n_links"), "omh-classes")
-    rows = src.select("doc_id", F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("node"))
+    least = of.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("least"))
+    of = stage(of.join(least, "component").select(
+        "node", F.col("least.doc_id").alias("class_id"), (F.col("node") == F.col("least.node")).alias("first"), "n_shingles", "n_links"), "omh-classes")
+    rows = src.select("doc_id", _node().alias("node"))
     return rows.join(of, "node", "left").select(
         "doc_id",
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_shingles", F.lit(0)).alias("n_shingles"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
+        (F.col("node").isNull() | (F.col("first") & F.col("doc_id").eqNullSafe(F.col("class_id")))).alias("kept"), "node",
+    )
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE) -> DataFrame:
-    """``docs`` without all but one document (the least doc_id) of each class,
+    """``docs`` without all but one document (as ``near_duplicate_classes`` says) of each class,
     all columns as they came; of rows that repeat id and text one stays."""
-    kept = near_duplicate_classes(docs, threshold, k).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
+    kept = _classes(docs, threshold, k).where("kept").select(F.col("doc_id").alias("__kept"), F.col("node").alias("__node")).distinct()
     key = F.xxhash64("text", "doc_id")
-    return (
-        docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("__kept")), "left_semi")
-        .withColumn("__row", key).dropDuplicates(["__row"]).drop("__row")
-    )
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__kept")) & _node().eqNullSafe(F.col("__node"))
+    return docs.join(kept, same, "left_semi").withColumn("__row", key).dropDuplicates(["__row"]).drop("__row")
 
 
 def op6_order_minhash(spark, sf_dir: str) -> DataFrame:

@@ -175,6 +175,24 @@ def test_lines_at_the_threshold_meet():
         assert (keys(x) != keys(y)).all(axis=1).sum() <= 3, size
 
 
+def test_documents_are_their_id_and_text(spark):
+    """Null and repeated ids with different texts pool neither lines nor kept rows."""
+    one, two = " ".join(prose(1, 12)), " ".join(prose(2, 12))
+    own = [" ".join(prose(40 + i, 12)) for i in range(4)]
+    rows = [(None, f"{one}\n{own[0]}"), (None, f"{one}\n{own[1]}"), (None, f"{own[2]}\n{two}"), (7, f"{two}\n{own[3]}"), (7, f"{own[3]}\n{one}")]
+    out = fuzzy_lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    lines = [x for r in out for x in (r.text or "").split("\n") if x]
+    assert len(out) == 5 and sorted(lines) == sorted([one, two, *own])
+    base = prose(9, 80)
+    near = [" ".join([*base[:at], "edit", *base[at + 1 :]]) for at in (0, 40, 79)]
+    rest = [" ".join(prose(300 + i, 80)) for i in range(2)]
+    rows = [(None, near[0]), (None, near[1]), (None, near[1]), (None, rest[0]), (None, None), (4, rest[1]), (4, rest[1] + " more"), (4, near[2][::-1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r.doc_id, r.text) for r in omh.keep_one(docs).collect()]
+    assert len(kept) == len(set(kept)) == 5 and {(None, rest[0]), (None, None), (4, near[2][::-1])} <= set(kept)
+    assert sum(t in near for _, t in kept) == 1 and sum(t in (rest[1], rest[1] + " more") for _, t in kept) == 1
+
+
 def test_sieve_never_misses(spark):
     rows = spark.range(5000).withColumnRenamed("id", "k")
     got = buckets.sieved(rows, "k", rows.where("k % 50 = 0"), "t").where("__maybe")
