@@ -6,7 +6,10 @@ the ``TUPLE`` labelled shingles of least hash are taken and kept *in text
 order*; two documents meet in a sketch only if they agree on the shingles and
 on their order, which tracks edit similarity rather than plain overlap. With
 18 sketches of 3, a pair of similarity 0.8 is missed with probability
-(1 - 0.8^3)^18 = 3e-6. Every met pair is verified by a banded alignment of the
+(1 - 0.8^3)^18 = 3e-6. Texts whose different shingles reach it (first
+occurrences, in order) are near as well, however often a passage comes in one
+of them: a text with repeats has as many keys of its first occurrences again,
+which are those of the same text without repeats. Every met pair is verified by a banded alignment of the
 two shingle sequences: m aligned shingles give similarity
 m / (n1 + n2 - m), at most their Jaccard index, and no aligned shingle of a
 pair that passes can be displaced by more than the band. Links become classes
@@ -144,19 +147,30 @@ def _may_reach(threshold: float) -> str:
 
 
 def sketch(docs: DataFrame, sketches: int = SKETCHES, size: int = TUPLE, k: int = SHINGLE) -> DataFrame:
-    """(doc_id, node, n_shingles, keys) of the documents that have a text."""
+    """(doc_id, node, n_shingles, n_distinct, keys) of the documents that have
+    a text; one that repeats shingles has keys by all of them and by the first
+    of each kind."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, items, offsets, first in labelled_shingles(batch.column("text"), k):
                 keys = order_min_hashes(items, offsets, sketches, size)
                 counts = np.diff(offsets)
-                width = np.where(counts > 0, sketches, 0)
-                flat = keys[counts > 0].reshape(-1).view(np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(width)]), pa.int32()), pa.array(flat, pa.int64()))
                 part = batch.slice(lo, hi - lo)
                 distinct = np.concatenate([[0], np.cumsum(first)])
                 distinct = distinct[offsets[1:]] - distinct[offsets[:-1]]
+                again = np.flatnonzero(distinct < counts)
+                width = np.where(counts > 0, sketches, 0)
+                width[again] *= 2
+                begins = np.cumsum(width) - width
+                flat = np.empty(width.sum(), np.uint64)
+                at = begins[counts > 0][:, None] + np.arange(sketches)
+                flat[at] = keys[counts > 0]
+                if len(again):
+                    chosen = first & np.repeat(distinct < counts, counts)
+                    ends = np.concatenate([[0], np.cumsum(distinct[again])])
+                    flat[begins[again][:, None] + sketches + np.arange(sketches)] = order_min_hashes(items[chosen], ends, sketches, size)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(width)]), pa.int32()), pa.array(flat.view(np.int64), pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("node"), pa.array(counts, pa.int64()), pa.array(distinct, pa.int64()), lists],
                     ["doc_id", "node", "n_shingles", "n_distinct", "keys"],

@@ -86,6 +86,14 @@ def test_alignment_is_the_longest_common_subsequence():
         assert abs(omh.aligned(a, b) - (s if s >= 0.8 else 0)) < 1e-12
 
 
+def test_repeated_passages_are_near(spark):
+    """Texts that differ in how often their body comes are one class."""
+    bodies = [" ".join(prose(600 + i, 90)) for i in range(12)]
+    rows = [(100 * n + i, " ".join([t] * n)) for i, t in enumerate(bodies) for n in (1, 2, 5, 8)]
+    got = {r.doc_id: r.class_id for r in omh.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: 100 + i % 100 for i, _ in rows}
+
+
 def test_crowded_bucket_loses_no_link(spark):
     """One family in one bucket: stars and blocks find all its components."""
     base = prose(5, 80)
