@@ -1,7 +1,9 @@
 """Main text of web pages by consensus host paths (operator 7).
 
 Pass one scores the containers of each page (text in their paragraphs, less
-linked text) and names the best by its generalised path of tags and classes.
+linked text) and names the best by its generalised path of tags and classes;
+one inside <article> or <main> stands for the nearest such element, whose
+heading and lead may lie beside it.
 Spark counts these votes per host. Pass two extracts the text of each page
 again from its host's winning paths, most votes first; a page that has none of
 them uses its own best container. Boilerplate elements (menus, headers,
@@ -180,7 +182,8 @@ class Page:
         return text, sum(len(t) for t, n, link in pieces if link and not self.dropped[n])
 
     def best(self) -> tuple[str, float] | None:
-        """Path and score of the best container."""
+        """Path and score of the best container; one inside an article (or main)
+        gives the path of that."""
         score: dict[int, float] = {}
         for at, pieces in self.blocks:
             text, linked = self._kept(pieces)
@@ -199,7 +202,10 @@ class Page:
         if not score:
             return None
         at = min(score, key=lambda i: (-score[i], i))
-        return self.path[at], score[at]
+        whole = at
+        while whole > 0 and self.tag[whole] not in ("article", "main"):
+            whole = self.parent[whole]
+        return self.path[whole if whole > 0 else at], score[at]
 
     def extract(self, path: str) -> str:
         """Text of all elements at a path: blocks joined by two line ends."""

@@ -108,6 +108,18 @@ def test_host_consensus(spark):
     assert host_consensus.extract(df.limit(0)).count() == 0
 
 
+def test_heading_and_lead_beside_the_body(spark):
+    """A body in a container of its own doesn't cost the article its heading and lead."""
+    body = "lorem ipsum " * 60
+    page = "<body><nav>menu</nav><{0}><h1>Title {1}</h1><p>Lead</p><div class=content><p>" + body + "</p><div class=ad>buy</div></div></{0}><footer>f</footer></body>"
+    rows = [(i, f"http://h{i % 2}.org/{i}", page.format(("article", "main")[i % 2], i)) for i in range(8)]
+    rows.append((9, "http://h2.org/", "<body><div class=content><p>" + body + "</p></div><p>outside</p></body>"))
+    got = {r.page_id: r for r in host_consensus.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(8):
+        assert got[i].text == "\n\n".join([f"Title {i}", "Lead", body.strip()]) and got[i].by_consensus
+    assert got[9].text == body.strip()
+
+
 def test_containment(spark, docs, corpus, empty):
     con = duckdb.connect()
     items = [(1, " ".join(corpus[2][1].split()[10:30])), (2, " ".join(corpus[4][1].split()[5:90])), (3, "one two"), (4, None), (5, ""), (6, "not in there at all ever"),
