@@ -19,7 +19,8 @@ In a bucket of many nodes all are compared with one of them; where that leaves
 two components, the nodes of that family are compared exactly, block by block
 of ``BLOCK`` texts inside tasks, through an inverted index of their shingles:
 the work of one unsettled family grows with its square, in steps of bounded
-memory, and only links leave a task.
+memory, and only links leave a task. The links of each text are counted in the
+same way over the components that a crowded bucket reaches.
 
 Nodes are 64-bit text hashes: n texts hold about n^2 / 2^65 colliding pairs.
 """
@@ -32,7 +33,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from renewlens.llm import textbatch as tb
@@ -227,43 +228,72 @@ def _overlaps(a: list[np.ndarray], b: list[np.ndarray], threshold: float) -> np.
     return out
 
 
+def _near_in_blocks(table: pa.Table, reader: Callable, score: Callable, threshold: float, apart: bool) -> list[tuple[int, int, float]]:
+    """(a, b, similarity) of the pairs of two blocks of a family (or within
+    one), each once; with ``apart`` only those of different labels."""
+    lo, hi = table["lo"][0].as_py(), table["hi"][0].as_py()
+    seqs: list[tuple[np.ndarray, np.ndarray]] = []
+    for _, _, items, offsets, first in reader(table["text"]):
+        seqs += [(items[o:e], first[o:e]) for o, e in zip(offsets[:-1], offsets[1:], strict=True)]
+    block, node, label = (table[c].to_numpy() for c in ("block", "node", "label"))
+    x, y = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+    near = np.zeros((len(x), len(y)), dtype=bool)
+    if len(x) and len(y):
+        near |= _overlaps([seqs[i][0] for i in x], [seqs[j][0] for j in y], threshold)
+        near |= _overlaps([seqs[i][0][seqs[i][1]] for i in x], [seqs[j][0][seqs[j][1]] for j in y], threshold)
+        if apart:
+            near &= label[x][:, None] != label[y][None, :]
+        if lo == hi:
+            near &= node[x][:, None] < node[y][None, :]
+    rows = []
+    for i, j in zip(*np.nonzero(near), strict=True):
+        p, q = x[i], y[j]
+        if s := score(*seqs[p], *seqs[q]):
+            rows.append((min(node[p], node[q]), max(node[p], node[q]), s))
+    return rows
+
+
+def _blocks(members: DataFrame, texts: DataFrame) -> GroupedData:
+    """Pairs of blocks of the families of (pivot, node, label), with texts."""
+    sizes = members.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    blocked = members.join(sizes, "pivot").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    wide = blocked.join(texts, "node").withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
+        "pivot", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "label", "text")
+    return wide.groupBy("pivot", "lo", "hi")
+
+
 def compare_families(members: DataFrame, texts: DataFrame, reader: Callable, score: Callable, threshold: float) -> DataFrame:
     """Links (a, b, similarity) between nodes (pivot, node, label) of one pivot
     and different labels, by blocks."""
 
     def compare(table: pa.Table) -> pa.Table:
-        lo, hi = table["lo"][0].as_py(), table["hi"][0].as_py()
-        seqs: list[tuple[np.ndarray, np.ndarray]] = []
-        for _, _, items, offsets, first in reader(table["text"]):
-            seqs += [(items[o:e], first[o:e]) for o, e in zip(offsets[:-1], offsets[1:], strict=True)]
-        block, node, label = (table[c].to_numpy() for c in ("block", "node", "label"))
-        x, y = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
-        near = np.zeros((len(x), len(y)), dtype=bool)
-        if len(x) and len(y):
-            near |= _overlaps([seqs[i][0] for i in x], [seqs[j][0] for j in y], threshold)
-            near |= _overlaps([seqs[i][0][seqs[i][1]] for i in x], [seqs[j][0][seqs[j][1]] for j in y], threshold)
-            near &= label[x][:, None] != label[y][None, :]
-            if lo == hi:
-                near &= node[x][:, None] < node[y][None, :]
-        rows = []
-        for i, j in zip(*np.nonzero(near), strict=True):
-            p, q = x[i], y[j]
-            if s := score(*seqs[p], *seqs[q]):
-                rows.append((min(node[p], node[q]), max(node[p], node[q]), s))
+        rows = _near_in_blocks(table, reader, score, threshold, True)
         a, b, s = zip(*rows, strict=True) if rows else ([], [], [])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "similarity": pa.array(s, pa.float64())})
 
-    sizes = members.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    blocked = members.join(sizes, "pivot").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    wide = blocked.join(texts, "node").withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
-        "pivot", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "label", "text")
-    return wide.groupBy("pivot", "lo", "hi").applyInArrow(compare, "a long, b long, similarity double")
+    return _blocks(members, texts).applyInArrow(compare, "a long, b long, similarity double")
+
+
+def count_links(members: DataFrame, texts: DataFrame, reader: Callable, score: Callable, threshold: float) -> DataFrame:
+    """(node, n_links): the links of each node (component, node) to all others
+    of its component. Links lie within components, so none is left out or
+    counted twice; only counts leave a task."""
+
+    def count(table: pa.Table) -> pa.Table:
+        rows = _near_in_blocks(table, reader, score, threshold, False)
+        node, n = np.unique(np.array([r[:2] for r in rows], np.int64), return_counts=True)
+        return pa.table({"node": pa.array(node, pa.int64()), "n": pa.array(n, pa.int64())})
+
+    families = members.select(F.col("component").alias("pivot"), "node", F.col("component").alias("label"))
+    return _blocks(families, texts).applyInArrow(count, "node long, n long").groupBy("node").agg(F.sum("n").alias("n_links"))
 
 
 def near_duplicate_links(docs: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE,
-                         sketches: int = SKETCHES, size: int = TUPLE) -> tuple[DataFrame, DataFrame]:
-    """(nodes: node, doc_id, n_shingles, n_distinct; links: a, b, similarity)
-    where a node is a distinct text and links join different texts."""
+                         sketches: int = SKETCHES, size: int = TUPLE) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(nodes: node, doc_id, n_shingles, n_distinct; links: a, b, similarity;
+    crowded: node, of crowded buckets; texts: node, text) where a node is a
+    distinct text and links join different texts. Between crowded nodes there
+    are links enough for the classes, not all."""
     sk = stage(sketch(docs, sketches, size, k), "omh-sketches")
     nodes = stage(sk.groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("n_distinct").alias("n_distinct")), "omh-nodes")
@@ -284,7 +314,7 @@ def near_duplicate_links(docs: DataFrame, threshold: float = THRESHOLD, k: int =
     links = stage(verify_pairs(pairs, texts, reader, score), "omh-links")
     open_nodes = stage(unsettled(crowded, connected_components(links, name="omh-star")), "omh-open")
     more = stage(compare_families(open_nodes, texts, reader, score, threshold).distinct(), "omh-rest")
-    return nodes, links.unionByName(more).distinct()
+    return nodes, links.unionByName(more).distinct(), crowded.select("node").distinct(), texts
 
 
 def _node() -> Column:
@@ -293,7 +323,7 @@ def _node() -> Column:
 
 def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE) -> DataFrame:
     """One row per document: doc_id, class_id (the least doc_id of its class),
-    n_shingles, n_links (verified links of its text to different texts), kept
+    n_shingles, n_links (links of its text to different texts, all of them verified), kept
     (whether it is the one that stays).
 
     A null text is a class of its own (n_shingles and n_links 0). Texts
@@ -304,18 +334,26 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, k: int
     a null class_id. Other columns of ``docs`` are ignored; an empty table gives an
     empty table.
     """
-    return _classes(docs, threshold, k).drop("node")
+    return _classes(docs, threshold, k, True).drop("node")
 
 
-def _classes(docs: DataFrame, threshold: float, k: int) -> DataFrame:
-    """``near_duplicate_classes`` with the node of each text."""
+def _classes(docs: DataFrame, threshold: float, k: int, counted: bool) -> DataFrame:
+    """``near_duplicate_classes`` with the node of each text; n_links is whole
+    only if ``counted``."""
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    nodes, links = near_duplicate_links(src, threshold, k)
+    nodes, links, crowded, texts = near_duplicate_links(src, threshold, k)
     comp = connected_components(links, name="omh-all")
     degree = (
         links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
         .groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     )
+    if counted:  # a component that a crowded bucket reaches has links that no bucket gave
+        comp = stage(comp, "omh-components")
+        reached = comp.join(crowded, "node", "left_semi").select("component").distinct()
+        members = stage(comp.join(reached, "component", "left_semi"), "omh-members")
+        reader, score = partial(labelled_shingles, k=k), partial(similarity, threshold=threshold)
+        whole = stage(count_links(members, texts, reader, score, threshold), "omh-counts")
+        degree = degree.join(members, "node", "left_anti").unionByName(whole)
     of = nodes.join(comp, "node", "left").join(degree, "node", "left").select(
         "node", "doc_id", "n_shingles", F.coalesce("component", "node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     least = of.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("least"))
@@ -334,7 +372,7 @@ def _classes(docs: DataFrame, threshold: float, k: int) -> DataFrame:
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE) -> DataFrame:
     """``docs`` without all but one document (as ``near_duplicate_classes`` says) of each class,
     all columns as they came; of rows that repeat id and text one stays."""
-    kept = _classes(docs, threshold, k).where("kept").select(F.col("doc_id").alias("__kept"), F.col("node").alias("__node")).distinct()
+    kept = _classes(docs, threshold, k, False).where("kept").select(F.col("doc_id").alias("__kept"), F.col("node").alias("__node")).distinct()
     key = F.xxhash64("text", "doc_id")
     same = docs["doc_id"].cast("long").eqNullSafe(F.col("__kept")) & _node().eqNullSafe(F.col("__node"))
     return docs.join(kept, same, "left_semi").withColumn("__row", key).dropDuplicates(["__row"]).drop("__row")

@@ -110,6 +110,24 @@ def test_crowded_bucket_loses_no_link(spark):
     assert [got[i] for i in range(60)] == roots
 
 
+def test_links_are_counted_whole(spark):
+    """Families below and above the size of a crowded bucket, against brute force."""
+    rows = []
+    for f, n in enumerate((5, 9, 40)):
+        base = prose(70 + f, 80)
+        for j in range(n):
+            w = list(base)
+            for e in range(j % 3):
+                w[(11 * j + 17 * e) % 80] = f"x{j}_{e}"
+            rows.append((100 * f + j, " ".join(w)))
+    seqs = {i: _sequence(t) for i, t in rows}
+    # equal texts are one node: a row's links go to different texts
+    text = dict(rows)
+    want = {i: len({t for j, t in rows if t != text[i] and j // 100 == i // 100 and _ordered(seqs[i], seqs[j]) >= 0.8}) for i, _ in rows}
+    got = {r.doc_id: r.n_links for r in omh.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want and max(want.values()) > 10
+
+
 def test_fuzzy_lines(docs, corpus):
     rows = sorted(set(corpus), key=lambda r: r[0])
     word = re.compile(r"[^\x20\x09-\x0D]")
