@@ -15,8 +15,10 @@ from renewlens.llm import (
     fuzzy_lines,
     host_consensus,
     language_id,
+    nra_search,
     omh,
     range_shards,
+    turn_trie,
     url_filter,
 )
 
@@ -33,10 +35,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sampled_splitters": range_shards.op8_sampled_splitters,
     "op9_fuzzy_lines": fuzzy_lines.op9_fuzzy_lines,
     "op10_containment": containment.op10_containment,
+    "op11_turn_trie": turn_trie.op11_turn_trie,
+    "op12_nra_search": nra_search.op12_nra_search,
 }
 
 _ORACLE: dict[str, str] = {
     "op10_containment": containment.OP10_SQL,
+    "op11_turn_trie": turn_trie.OP11_SQL,
+    "op12_nra_search": nra_search.OP12_SQL,
 }
 
 
