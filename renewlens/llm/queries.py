@@ -18,6 +18,7 @@ from renewlens.llm import (
     nra_search,
     omh,
     range_shards,
+    suffix_dedup,
     turn_trie,
     url_filter,
 )
@@ -37,6 +38,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_containment": containment.op10_containment,
     "op11_turn_trie": turn_trie.op11_turn_trie,
     "op12_nra_search": nra_search.op12_nra_search,
+    "op13_suffix_dedup": suffix_dedup.op13_suffix_dedup,
 }
 
 _ORACLE: dict[str, str] = {
