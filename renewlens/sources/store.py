@@ -4,6 +4,8 @@
               folder the cluster names in ``spark.checkpoint.dir`` and reads
               it back: one computation, lineage cut, survives executor loss,
               and later readers get column pruning and filter pushdown.
+``StageScope``  owns the folders staged while it is open and frees them after
+              their last reader.
 ``write_dated``  idempotent daily upsert of a dated table (K3 + K4 = K5).
 ``append_history``  plain append with schema merge (K7).
 """
@@ -11,6 +13,7 @@
 from __future__ import annotations
 
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,12 +21,79 @@ from pyspark.sql import functions as F
 from renewlens.session import ensure_checkpoint_dir
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+_SCOPE: ContextVar[StageScope | None] = ContextVar("stage_scope", default=None)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system its path names, if it is there."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+class StageScope:
+    """Owner of the folders staged while it is open.
+
+    ``free`` releases one as soon as its last reader is done; leaving the scope
+    releases the rest, on an error too. What a scope returns goes through
+    ``keep``, which stages it for the scope around (or for the caller, outside
+    of all scopes). A staged table of a closed scope must not be read again.
+
+        with StageScope(spark) as scope:
+            links = stage(..., "links")
+            return scope.keep(stage(...), "result")
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[str, None] = {}
+
+    def __enter__(self) -> StageScope:
+        self._outer = _SCOPE.get()
+        self._token = _SCOPE.set(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        _SCOPE.reset(self._token)
+        for path in list(self.paths):
+            self._release(path)
+
+    def _release(self, path: str) -> None:
+        self.paths.pop(path, None)
+        delete_folder(self.spark, path)
+
+    def free(self, *tables: DataFrame) -> None:
+        """Release staged tables of this scope; others are left alone."""
+        for df in tables:
+            path = getattr(df, "_stage_path", None)
+            if path in self.paths:
+                self._release(path)
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written as a table of the scope around."""
+        out = _write_stage(df, name)
+        if self._outer is not None:
+            self._outer.paths[out._stage_path] = None
+        return out
+
+
+def _write_stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/stage-{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._stage_path = path
+    return out
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back; the innermost open
+    scope owns the folder."""
+    out = _write_stage(df, name)
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.paths[out._stage_path] = None
+    return out
 
 
 def write_dated(df: DataFrame, path: str, date_col: str, day=None) -> None:

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import tempfile
 
-from renewlens.sources.store import clear_date, stage, write_dated
+import pytest
+from pyspark.sql import functions as F
+
+from renewlens.sources.store import StageScope, clear_date, stage, write_dated
 
 
 def test_write_dated_is_idempotent(spark):
@@ -33,3 +37,32 @@ def test_empty_rerun_clears_the_day(spark):
 def test_stage_round_trip(spark):
     df = spark.range(10).withColumnRenamed("id", "x")
     assert sorted(r.x for r in stage(df, "t").collect()) == list(range(10))
+
+
+def _folders(spark):
+    return {x for x in os.listdir(spark.conf.get("spark.checkpoint.dir")) if x.startswith("stage-scope")}
+
+
+def test_scope_frees_all_but_its_result(spark):
+    with StageScope(spark) as outer:
+        with StageScope(spark) as inner:
+            a = stage(spark.range(5), "scope-a")
+            b = stage(a.join(a.withColumnRenamed("id", "x"), a["id"] == F.col("x")), "scope-b")
+            inner.free(a)
+            assert {x.rsplit("-", 1)[0] for x in _folders(spark)} == {"stage-scope-b"}
+            out = inner.keep(b.select("id"), "scope-out")
+        assert {x.rsplit("-", 1)[0] for x in _folders(spark)} == {"stage-scope-out"}
+        assert out.count() == 5
+        outer.free(spark.range(3))  # not staged: left alone
+    assert not _folders(spark)
+
+
+def test_scope_frees_on_error_and_leaves_results_outside(spark):
+    with pytest.raises(RuntimeError), StageScope(spark):
+        stage(spark.range(2), "scope-c")
+        raise RuntimeError
+    assert not _folders(spark)
+    with StageScope(spark) as scope:
+        out = scope.keep(spark.range(4), "scope-d")
+    assert out.count() == 4
+    assert len(_folders(spark)) == 1
