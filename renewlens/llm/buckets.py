@@ -19,15 +19,18 @@ from renewlens.sources.store import stage
 SMALL = 8
 
 
-#: Bits of the sieve that spares rows a shuffle: 128 rows of 4 KB.
-_SIEVE_BITS = 1 << 22
+#: Bits of the sieve that spares rows a shuffle: 16 a key, from 128 rows of
+#: 4 KB up to 4096 (16 MB), the bound of what is broadcast. With more keys it
+#: lets more through, until it spares nothing.
+_SIEVE_BITS = (1 << 22, 1 << 27)
 
 
 def sieved(rows: DataFrame, key: str, wanted: DataFrame, name: str) -> DataFrame:
     """``rows`` with a boolean __maybe that is true wherever the long ``key``
     is among those of ``wanted`` (and by chance elsewhere). The bitmap it is
-    looked up in has a fixed size, so it can be broadcast."""
-    at = F.pmod(F.xxhash64(key), F.lit(_SIEVE_BITS))
+    looked up in has a bounded size, so it can be broadcast."""
+    n_bits = min(max(_SIEVE_BITS[0], 1 << (16 * wanted.count()).bit_length()), _SIEVE_BITS[1])
+    at = F.pmod(F.xxhash64(key), F.lit(n_bits))
     bucket, bit = F.floor(at / 32768).cast("int"), F.pmod(at, F.lit(32768)).cast("int")
     bits = wanted.select(bucket.alias("__bucket"), bit.cast("long").alias("b")).groupBy("__bucket").agg(F.bitmap_construct_agg("b").alias("__bits"))
     bits = stage(bits, name)

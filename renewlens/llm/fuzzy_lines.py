@@ -1,19 +1,22 @@
 """Fuzzy line deduplication by MinHash (operator 9).
 
 All lines with a word are compared, equal ones as one node. A line's signature
-holds the least hash of its 5-character shingles in each of 80 parts of hash
+holds the least hash of its 5-character shingles in each of 64 parts of hash
 space (an empty part takes that of another part, tried in an order of its own),
-which are MinHash values; twenty bands of four of them make candidates. Lines
+which are MinHash values; 16 bands of four of them make candidates. Lines
 whose shingle sets reach a Jaccard index of 0.8 are linked, exactly verified; a
-link is missed with probability (1 - 0.8^4)^20 = 3e-5 at the threshold and
-4e-8 at an index of 0.87 (measured: 1e-4 at most, in lines of 8 characters). A crowded
-bucket is handled as in ``buckets``. Links become components by distributed
+link is missed with probability (1 - 0.8^4)^16 = 2e-4 at the threshold and
+1e-5 at an index of 0.85. Sets that reach 0.8 are of similar size, so buckets
+are split by size class (a power of two; sets little below the next one stand
+in both), and pairs are held against their exact sizes before any text is
+fetched. A crowded bucket is handled as in ``buckets``. Links become components by distributed
 connected components, and one line of each stays: its first occurrence by
 document id, text hash and position.
 
 Signatures and verification are numpy inside tasks: the same in DataFrame
 functions alone went far beyond the CPU limit (figures in the README).
-Nodes are 64-bit line hashes: n lines hold about n^2 / 2^65 colliding pairs.
+Equal lines are known by 128 bits of hash. Links join 64-bit nodes; lines that
+share one by chance keep to their exact copies.
 """
 
 from __future__ import annotations
@@ -31,16 +34,18 @@ from renewlens.llm import textbatch as tb
 from renewlens.llm.buckets import bucket_pairs, sieved, unsettled
 from renewlens.llm.graph import connected_components
 from renewlens.llm.omh import compare_families, verify_pairs
-from renewlens.sources.store import stage
+from renewlens.sources.store import StageScope, stage
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS = 20
+BANDS = 16
 ROWS = 4
 #: For each part the order in which an empty one tries the others.
 _TRIES = np.argsort(np.random.default_rng(0x11E5).random((BANDS * ROWS, BANDS * ROWS)), axis=0)
 _HAS_WORD = r"[^\x20\x09-\x0D]"
 _CHUNK = 1 << 19
+#: Bytes of lines within which a repeated line is signed once.
+_STRETCH = 8 << 20
 
 
 def char_shingles(column: pa.Array, k: int = SHINGLE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -53,19 +58,26 @@ def char_shingles(column: pa.Array, k: int = SHINGLE) -> Iterator[tuple[int, int
         text = "".join(column.slice(lo, hi - lo).to_pylist())
         cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
         off = offsets[lo : hi + 1] - offsets[lo]
-        h = tb.mix(tb.rolling(cp, k))
         lens = np.diff(off)
-        n = np.maximum(lens - (k - 1), np.minimum(lens, 1))
-        whole = np.repeat(off[:-1] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        items = h[whole]
+        padded = np.concatenate([cp, np.zeros(k - 1, np.uint64)])
+        h = np.zeros(len(cp), np.uint64)
+        for j in range(k):
+            h *= np.uint64(0x9E3779B97F4A7C15)
+            h += padded[j : j + len(cp)]
+        whole = np.ones(len(cp), dtype=bool)  # shingles that end within their line
+        for j in range(1, k):
+            last = off[1:] - j
+            whole[last[lens >= j]] = False
         short = np.flatnonzero((lens > 0) & (lens < k))
-        if len(short):  # the rolling hash runs on into the next row
-            value, at, size = lens[short].astype(np.uint64), off[:-1][short], lens[short]
+        if len(short):  # its characters, and its length in place of what follows
+            at, size = off[:-1][short], lens[short]
+            value = size.astype(np.uint64)
             for j in range(k - 1):
                 has = size > j
                 value[has] = tb.mix(value[has] * np.uint64(0x9E3779B97F4A7C15) + cp[at[has] + j] + np.uint64(1))
-            items[(np.cumsum(n) - n)[short]] = value
-        yield lo, hi, items, np.concatenate([[0], np.cumsum(n)])
+            h[at], whole[at] = value, True
+        n = np.maximum(lens - (k - 1), np.minimum(lens, 1))
+        yield lo, hi, tb.mix(h[whole]), np.concatenate([[0], np.cumsum(n)])
 
 
 def shingle_sets(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -87,27 +99,37 @@ def jaccard(a: np.ndarray, _a: np.ndarray, b: np.ndarray, _b: np.ndarray, thresh
     return s if s >= threshold - 1e-12 else 0.0
 
 
-def band_keys(items: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Keys (rows x bands) of rows that all have shingles."""
+def band_keys(items: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys (rows x bands), number of different shingles) of rows that all
+    have shingles."""
     n, parts = len(offsets) - 1, BANDS * ROWS
-    owner = np.repeat(np.arange(n), np.diff(offsets))
-    part = ((items >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    own = np.repeat(np.arange(n, dtype=np.uint64), np.diff(offsets))
+    # a row's shingles in order: 44 bits of hash under the row's number
+    both = np.sort(own << np.uint64(44) | items >> np.uint64(20))
+    new = np.ones(len(both), dtype=bool)
+    new[1:] = both[1:] != both[:-1]
+    both = both[new]
+    owner, value = (both >> np.uint64(44)).astype(np.int64), both & np.uint64((1 << 44) - 1)
+    sizes = np.bincount(owner, minlength=n)
+    slot = owner * parts + (value * np.uint64(parts) >> np.uint64(44)).astype(np.int64)
+    first = np.ones(len(slot), dtype=bool)
+    first[1:] = slot[1:] != slot[:-1]
     empty = np.uint64(2**64 - 1)
     low = np.full(n * parts, empty)
-    np.minimum.at(low, owner * parts + part, items)
+    low[slot[first]] = value[first]
     low = low.reshape(n, parts)
-    own = low.copy()
+    got_own = low.copy()
     row, at = np.nonzero(low == empty)
     for tries in _TRIES:
         if not len(row):
             break
-        got = own[row, tries[at]]
+        got = got_own[row, tries[at]]
         low[row, at] = got
         row, at = row[got == empty], at[got == empty]
     keys = np.zeros((n, BANDS), np.uint64)
     for r in range(ROWS):  # rows of a band lie far apart
         keys = tb.mix(keys + low[:, r * BANDS : (r + 1) * BANDS] * np.uint64(0x9E3779B97F4A7C15) + np.arange(1, BANDS + 1, dtype=np.uint64))
-    return keys
+    return keys, sizes
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -116,30 +138,65 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return split.where(F.col("line").rlike(_HAS_WORD)).withColumn("node", F.xxhash64("line"))
 
 
-def line_links(lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Links (a, b) between different lines of (node, line, any others)."""
+def signatures(lines: DataFrame) -> DataFrame:
+    """(node, size, keys) of (node, line); a node that comes again in the same
+    stretch of the scan is left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo, hi, items, offsets in char_shingles(batch.column("line")):
-                keys = band_keys(items, offsets)
+        held, size = [], 0
+
+        def sign(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(parts)
+            _, once = np.unique(table.column("node").to_numpy(), return_index=True)
+            table = table.take(pa.array(np.sort(once)))
+            line = pa.concat_arrays(table.column("line").chunks)
+            node = table.column("node").to_numpy()
+            for lo, hi, items, offsets in char_shingles(line):
+                keys, sizes = band_keys(items, offsets)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32()), pa.array(keys.reshape(-1).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column("node").slice(lo, hi - lo), lists], ["node", "keys"])
-
-    keyed = lines.select("node", "line").mapInArrow(run, "node long, keys array<long>").dropDuplicates(["node"])
-    keyed = stage(keyed, "lines-keys")
-    pairs, crowded = bucket_pairs(keyed.select("node", F.explode("keys").alias("key")), name="lines")
-    pairs = stage(pairs, "lines-pairs")
-    wanted = stage(
-        pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-        .unionByName(crowded.select("node")).distinct(), "lines-wanted")
-    near = sieved(lines.select("node", "line"), "node", wanted, "lines-sieve").where("__maybe")
-    texts = stage(near.select("node", F.col("line").alias("text")).dropDuplicates(["node"]).join(wanted, "node", "left_semi"), "lines-texts")
-    score = partial(jaccard, threshold=threshold)
-    links = stage(verify_pairs(pairs, texts, shingle_sets, score), "lines-links")
-    members = stage(unsettled(crowded, connected_components(links, name="lines-star")), "lines-open")
-    more = compare_families(members, texts, shingle_sets, score, threshold)
-    return links.unionByName(more).select("a", "b").distinct()
+                yield pa.RecordBatch.from_arrays([pa.array(node[lo:hi]), pa.array(sizes, pa.int64()), lists], ["node", "size", "keys"])
+
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if size >= _STRETCH:
+                yield from sign(held)
+                held, size = [], 0
+        if held and sum(b.num_rows for b in held):
+            yield from sign(held)
+
+    return lines.select("node", "line").mapInArrow(run, "node long, size long, keys array<long>")
+
+
+def line_links(lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Links (a, b) between different lines of (node, line, any others)."""
+    with StageScope(lines.sparkSession) as scope:
+        keyed = stage(signatures(lines), "lines-keys")
+        entries = keyed.select("node", "size", F.explode("keys").alias("key"))
+        # most keys have one line: they are told from the rest by 32 bits of it
+        few = F.hash("node")
+        shared = stage(entries.groupBy("key").agg(F.min(few).alias("lo"), F.max(few).alias("hi")).where("lo != hi").select("key"), "lines-shared")
+        likely = sieved(entries, "key", shared, "lines-keysieve").where("__maybe").select("key", "node", "size").join(shared, "key", "left_semi")
+        # lines of similar size share a class: [2^c, 2^(c+1)), and its upper neighbours
+        c = F.floor(F.log2("size"))
+        classes = F.when(F.col("size") >= F.pow(F.lit(2.0), c + 1) * threshold - 1e-9, F.array(c, c + 1)).otherwise(F.array(c))
+        members = stage(likely.select("key", "node", F.explode(classes).alias("c")).select(F.xxhash64("key", "c").alias("key"), "node").distinct(), "lines-entries")
+        pairs, crowded = bucket_pairs(members, name="lines")
+        sizes = stage(keyed.select("node", "size").join(members.select("node").distinct(), "node", "left_semi").distinct(), "lines-sizes")
+        scope.free(keyed, shared)
+        sized = pairs.join(sizes.toDF("a", "sa"), "a").join(sizes.toDF("b", "sb"), "b")
+        pairs = stage(sized.where(F.least("sa", "sb") >= threshold * F.greatest("sa", "sb") - 1e-9).select("a", "b"), "lines-pairs")
+        crowded = stage(crowded, "lines-crowds")
+        wanted = stage(
+            pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+            .unionByName(crowded.select("node")).distinct(), "lines-wanted")
+        near = sieved(lines.select("node", "line"), "node", wanted, "lines-sieve").where("__maybe")
+        texts = stage(near.select("node", F.col("line").alias("text")).dropDuplicates(["node"]).join(wanted, "node", "left_semi"), "lines-texts")
+        score = partial(jaccard, threshold=threshold)
+        links = stage(verify_pairs(pairs, texts, shingle_sets, score), "lines-links")
+        members = stage(unsettled(crowded, connected_components(links, name="lines-star")), "lines-open")
+        more = compare_families(members, texts, shingle_sets, score, threshold)
+        return scope.keep(links.unionByName(more).select("a", "b").distinct(), "lines-all")
 
 
 def duplicate_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -147,15 +204,20 @@ def duplicate_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     of lines with copies or near copies, but for the first of each class. A
     document is its id and text."""
     place = F.struct("doc_id", "text_hash", "pos")
-    lines = lines_of(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    comp = connected_components(stage(line_links(lines, threshold), "lines-all"), name="lines-cc")
-    at = lines.select("node", "doc_id", "text_hash", "pos")
-    firsts = stage(at.groupBy("node").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")), "lines-firsts")
-    best = stage(firsts.join(comp, "node").groupBy("component").agg(F.min("first").alias("best")), "lines-best")
-    fuzzy = comp.join(best, "component").select("node", F.col("component").alias("class_id"), "best")
-    exact = firsts.where("n > 1").join(comp, "node", "left_anti").select("node", F.col("node").alias("class_id"), F.col("first").alias("best"))
-    classes = stage(fuzzy.unionByName(exact), "lines-classes")
-    return at.join(classes, "node").where(~place.eqNullSafe(F.col("best"))).select("doc_id", "text_hash", "pos", "class_id")
+    with StageScope(docs.sparkSession) as scope:
+        lines = lines_of(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+        comp = connected_components(line_links(lines, threshold), name="lines-cc")
+        at = lines.select("node", F.xxhash64("line", F.lit(9)).alias("check"), "doc_id", "text_hash", "pos")
+        firsts = stage(at.groupBy("node", "check").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")), "lines-firsts")
+        # two different lines under one node: neither takes part in links
+        twins = firsts.groupBy("node").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1").select("node")
+        comp = comp.join(twins, "node", "left_anti")
+        best = stage(firsts.join(comp, "node").groupBy("component").agg(F.min("first").alias("best")), "lines-best")
+        fuzzy = firsts.join(comp, "node").join(best, "component").select("node", "check", F.col("component").alias("class_id"), "best")
+        exact = firsts.where("n > 1").join(comp, "node", "left_anti").select("node", "check", F.col("node").alias("class_id"), F.col("first").alias("best"))
+        classes = stage(fuzzy.unionByName(exact), "lines-classes")
+        gone = at.join(classes, ["node", "check"]).where(~place.eqNullSafe(F.col("best"))).select("doc_id", "text_hash", "pos", "class_id")
+        return scope.keep(gone, "lines-gone")
 
 
 def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -172,9 +234,10 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """
     own = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     docs = docs.select(*own)
-    gone = stage(duplicate_lines(docs, threshold), "lines-gone")
-    lists = gone.groupBy(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).agg(F.collect_set("pos").alias("__gone"))
-    lists = stage(lists.withColumn("__at", F.xxhash64("__doc", "__hash")), "lines-lists")
+    with StageScope(docs.sparkSession) as scope:
+        gone = duplicate_lines(docs, threshold)
+        lists = gone.groupBy(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).agg(F.collect_set("pos").alias("__gone"))
+        lists = scope.keep(lists.withColumn("__at", F.xxhash64("__doc", "__hash")), "lines-lists")
     keyed = docs.withColumns({"__doc": F.col("doc_id").cast("long"), "__hash": F.xxhash64("text")}).withColumn("__at", F.xxhash64("__doc", "__hash"))
     marked = sieved(keyed, "__at", lists.select("__at"), "lines-docs")
     # documents that lose nothing are not shuffled
