@@ -4,6 +4,7 @@
 ``or_range_join``  disjunctive key (phone OR email) + date interval (J6)
 ``count_upto``     per-key running totals looked up at a date (as-of lookup),
                    used where an interval join would emit all pairs of a key
+``count_dominated``  the same for two dates at once (both on or before)
 
 All of them are compositions of DataFrame joins, aggregates and windows whose
 windows only ever hold one key's distinct days, never one key's rows.
@@ -135,6 +136,58 @@ def count_upto(
     )
 
 
+#: Levels of the day tree: days of the years 1 to 9999 are under 2^22.
+_DAY_LEVELS = 22
+_DAY_ZERO = 719_162  # days from 0001-01-01 to 1970-01-01
+
+
+def count_dominated(
+    points: DataFrame,
+    events: DataFrame,
+    keys: Sequence[str],
+    at: tuple[str, str],
+    event_days: tuple[str, str],
+    measures: dict[str, Column],
+    bucket_days: int = 128,
+    prefix: str = "",
+) -> DataFrame:
+    """For every row of ``points``: the sums of ``measures`` over the ``events``
+    of the same ``keys`` with both ``event_days`` on or before the two dates
+    ``at``.
+
+    Dominance counting without pairing rows: the first date is taken apart into
+    whole subtrees of a binary tree of days (at most one per level), an event
+    stands in its subtree of every level, and within (key, subtree) the second
+    date is a running count (``count_upto``). A hot key spreads over its
+    subtrees. Events are replicated once per level, so this is for event sets
+    that a plain running count can't serve. Points come out once each, 0 where
+    a date is NULL or nothing matches.
+    """
+    x, y = at
+    ex, ey = event_days
+    names = list(measures)
+    rows = events.where(F.col(ex).isNotNull() & F.col(ey).isNotNull()).select(
+        *keys, F.col(ey).alias("__ey"), *[e.alias(n) for n, e in measures.items()],
+        (day_number(F.col(ex)) + _DAY_ZERO).cast("long").alias("__dx"))
+    level = F.explode(F.sequence(F.lit(0), F.lit(_DAY_LEVELS))).alias("__level")
+    nodes = rows.select(*keys, "__ey", *names, "__dx", level)
+    nodes = nodes.withColumn("__node", F.expr("shiftright(__dx, __level)")).drop("__dx")
+    # days before x + 1: for each set bit i of x + 1 the subtree left of it
+    bound = (day_number(F.col(x)) + _DAY_ZERO + 1).cast("long")
+    own = points.columns
+    dated = points.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    parts = dated.join(events.select(*keys).dropDuplicates(), list(keys), "left_semi")
+    parts = parts.select(*own, bound.alias("__bound"), level).where("shiftright(__bound, __level) % 2 = 1")
+    parts = parts.withColumn("__node", F.expr("shiftright(__bound, __level) - 1")).drop("__bound")
+    found = count_upto(parts, nodes, [*keys, "__level", "__node"], y, "__ey", {n: F.col(n) for n in names}, bucket_days, prefix="__")
+    rows = found.select(*own, F.lit(0).alias("__copy"), *[f"__{n}" for n in names]).unionByName(
+        points.select(*own, F.lit(1).alias("__copy"), *[F.lit(0).cast("long").alias(f"__{n}") for n in names]))
+    # equal points got the same counts: their sum is that of one, times the copies
+    total = rows.groupBy(*own).agg(F.sum("__copy").alias("__copies"), *[F.sum(f"__{n}").alias(f"__{n}") for n in names])
+    total = total.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
+    return total.select(*own, *[F.expr(f"__{n} div __copies").alias(prefix + n) for n in names])
+
+
 def or_range_join(
     left: DataFrame,
     right: DataFrame,

@@ -504,6 +504,12 @@ def queries() -> dict[str, str]:
     q["owner_experience"] = _with(_base_cte(), OWNER_CTE) + "SELECT * FROM owner_exp"
     q["competitor_listings"] = _with(_base_cte(), COMPETITOR_CTE) + "SELECT * FROM competitors"
     q["feature_table"] = _with(*features_latest_ctes()) + "SELECT * FROM features_latest"
+    q["feature_table_incremental"] = q["feature_table"]
+    q["prior_packages_recent"] = _with(_base_cte(backup=True), _prior_cte(FP.backup().prior_smoothing)) + "SELECT * FROM prior"
+    q["lead_base_recent"] = _with(_lead_ctes(FP.backup().lead_history_days)) + "SELECT * FROM lead_base"
+    q["package_slots_products"] = _with(_base_cte()) + """
+SELECT DISTINCT b.seller_uuid, b.opportunity_id, array_to_string(p.slot_ids, ';') AS slot_ids, array_to_string(p.product_ids, ';') AS product_ids
+FROM base_rows b JOIN packages p USING (seller_uuid, opportunity_id)"""
     q.update(scoring_queries())
     q.update(extra_queries())
     return q
@@ -732,6 +738,7 @@ SELECT opportunity_id, seller_uuid, city, total_leads_25pctduration FROM feature
 ORDER BY total_leads_25pctduration DESC, opportunity_id ASC LIMIT 20"""
     q["feature_repository"] = feats + """
 SELECT feature_creation_date, count(DISTINCT opportunity_id) AS cnt FROM features_latest GROUP BY 1"""
+    q["feature_repository_swapped"] = q["feature_repository"]
     q["repository_empty_rerun"] = feats + f"""
 SELECT CAST({AS_OF} - 1 AS DATE) AS feature_creation_date, count(DISTINCT opportunity_id) AS cnt FROM features_latest"""
     q["score_monitor"] = _with(*(features_latest_ctes() + _scoring_ctes())) + f"""

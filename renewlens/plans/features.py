@@ -12,6 +12,7 @@ Grain notes:
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,7 +20,9 @@ from pyspark.sql import functions as F
 from renewlens import params as P
 from renewlens.functions import scalars as X
 from renewlens.operators.aggs import cond_sums, distinct_count
-from renewlens.operators.joins import count_upto, or_range_join, range_join
+from renewlens.operators.joins import count_dominated, count_upto, or_range_join, range_join
+from renewlens.operators.medians import exact_median, sliding_medians
+from renewlens.sources.store import stage
 
 PKG = ["city", "seller_uuid", "opportunity_id"]
 SP = ["seller_uuid", "opportunity_id"]
@@ -180,7 +183,7 @@ def leads_with_listings(src, p: P.FeatureParams = P.FeatureParams()) -> DataFram
 
 def seller_median_price(plc: DataFrame) -> DataFrame:
     """A11: exact median listing price per seller (the imputation value)."""
-    return plc.groupBy("seller_uuid").agg(F.median("listing_price").alias("mean_listing_price"))
+    return exact_median(plc, ["seller_uuid"], "listing_price", "mean_listing_price")
 
 
 def seller_property_mode(plc: DataFrame) -> DataFrame:
@@ -200,10 +203,12 @@ def lead_base(src, p: P.FeatureParams = P.FeatureParams()) -> DataFrame:
     leads (an IN subquery); the LEFT join from the leads below already drops
     every other listing, so that extra pass is not needed.
     """
-    plc = leads_with_listings(src, p)
-    # exact median per seller; the percentile buffer holds one entry per
-    # distinct price of the seller (partial aggregation merges them)
-    imp = plc.groupBy("seller_uuid").agg(F.median("listing_price").alias("__median_price"))
+    return impute_prices(stage(leads_with_listings(src, p), "leads"))
+
+
+def impute_prices(plc: DataFrame) -> DataFrame:
+    """``lead_base`` of distinct leads with their listings."""
+    imp = seller_median_price(plc).withColumnRenamed("mean_listing_price", "__median_price")
     out = (
         plc.filter(F.col("city").isNotNull() & F.col("listing_id").isNotNull())
         .join(imp, "seller_uuid", "left")
@@ -270,9 +275,9 @@ def prior_packages(base: DataFrame, src, p: P.FeatureParams = P.FeatureParams())
     Counted without pairing packages: for a package whose start <= end,
     ``prev_end < start - 1500`` implies ``prev_start < end - 30``, so
     matched = #(prev_start < end-30) - #(prev_end < start-1500); both terms
-    are running counts per seller (``count_upto``). Rows with end < start (not
-    produced by min start / max end, but handled for exactness) are counted
-    with a direct join on the seller.
+    are running counts per seller (``count_upto``). Of rows with end < start
+    (not produced by min start / max end, but handled for exactness) those that
+    fail only the second bound are counted on both dates (``count_dominated``).
     """
     # a NULL date satisfies neither bound
     prev = previous_packages(src).filter(F.col("prev_start").isNotNull() & F.col("prev_end").isNotNull())
@@ -287,23 +292,16 @@ def prior_packages(base: DataFrame, src, p: P.FeatureParams = P.FeatureParams())
     a = count_upto(pts, prev, ["seller_uuid"], "__x", "prev_start", meas, prefix="a_")
     ab = count_upto(a, well, ["seller_uuid"], "__y", "prev_end", meas, prefix="b_")
     # previous rows with end before start (min start / max end never produce
-    # them, handled for exactness): matched with a direct join on the seller
-    bad = prev.filter(F.col("prev_start") > F.col("prev_end")).alias("q")
-    pa = ab.alias("p")
-    cond = (
-        (F.col("p.seller_uuid") == F.col("q.seller_uuid"))
-        & (F.col("q.prev_start") < F.date_sub(F.col("p.package_end_date"), p.prior_end_margin_days))
-        & (F.col("q.prev_end") >= F.date_sub(F.col("p.package_start_date"), p.prior_lookback_days))
-    )
+    # them, handled for exactness): their share of the first count that ended
+    # too early, counted on both dates
+    bad = prev.filter(F.col("prev_start") > F.col("prev_end"))
+    j = count_dominated(ab, bad, ["seller_uuid"], ("__x", "__y"), ("prev_start", "prev_end"), meas, prefix="c_")
     keys = PKG + ["package_start_date", "package_end_date"]
-    j = pa.join(bad, cond, "left").groupBy(*[F.col(f"p.{c}") for c in keys + ["a_n", "a_r", "b_n", "b_r"]]).agg(
-        F.count(F.col("q.opportunity_id")).alias("c_n"), F.coalesce(F.sum("q.flag"), F.lit(0)).alias("c_r")
-    )
     s = p.prior_smoothing
     return j.filter(F.col("city").isNotNull()).select(
         *keys,
-        (F.col("a_n") - F.col("b_n") + F.col("c_n") + s).cast("long").alias("seller_tot_packages_previous"),
-        (F.col("a_r") - F.col("b_r") + F.col("c_r") + s).cast("long").alias("seller_tot_renewal_previous"),
+        (F.col("a_n") - F.col("b_n") - F.col("c_n") + s).cast("long").alias("seller_tot_packages_previous"),
+        (F.col("a_r") - F.col("b_r") - F.col("c_r") + s).cast("long").alias("seller_tot_renewal_previous"),
     )
 
 
@@ -551,8 +549,8 @@ def city_median_activity(base: DataFrame, daily: DataFrame, p: P.FeatureParams =
     each package's quarter cut-off.
 
     Packages sharing (city, cut-off) share the answer, so the windows are
-    built per distinct (city, cut-off) - at most cities x days rows, each
-    group at most 366 values - and joined back to the packages.
+    built per distinct (city, cut-off) and joined back to the packages. A window
+    meets one run of days, not 366 rows (``sliding_medians``).
     """
     d = daily.withColumns(
         {
@@ -567,10 +565,8 @@ def city_median_activity(base: DataFrame, daily: DataFrame, p: P.FeatureParams =
         .dropDuplicates()
         .withColumn("__lo", F.date_sub("onefourth_cutoff_date", p.city_history_days))
     )
-    win = range_join(cuts, d, ["city"], "__lo", "onefourth_cutoff_date", "lead_date", p.bucket_days)
-    med = win.groupBy("city", "onefourth_cutoff_date").agg(
-        *[F.round(F.median(s), 0).alias(m) for s, m in CITY_MEDIAN_SRC]
-    )
+    found = sliding_medians(cuts, d, ["city"], "__lo", "onefourth_cutoff_date", "lead_date", CITY_MEDIAN_SRC, p.city_history_days)
+    med = found.select("city", "onefourth_cutoff_date", *[F.round(m, 0).alias(m) for _, m in CITY_MEDIAN_SRC])
     pk = base_packages(base, "onefourth_cutoff_date")
     out = pk.join(med, ["city", "onefourth_cutoff_date"], "left")
     return out.select(*PKG, *[F.coalesce(F.col(m), F.lit(0.0)).alias(m) for m in CITY_MEDIAN_COLS])
@@ -769,11 +765,47 @@ FEATURE_VALUE_COLS = (
 FEATURE_TABLE_COLS = IDENTITY_COLS + FEATURE_VALUE_COLS  # 65 columns
 
 
+def _same_keys(on: list[str]):
+    return lambda x: reduce(lambda a, b: a & b, [x[k] == F.col(f"__base_{k}") for k in on])
+
+
+def merge_by_package(base: DataFrame, frames: dict[str, DataFrame]) -> DataFrame:
+    """``base`` LEFT JOINed with every frame on opportunity_id and whichever of
+    seller_uuid / account_owner_id the frame has (J10), in one shuffle.
+
+    All rows are put under each other, tagged by their frame, and grouped per
+    package once; a base row then picks its match out of each frame's rows of
+    that package. Rows that match several of a frame come out once for each, as
+    from a join. Base rows without opportunity_id match nothing.
+    """
+    tables = {"__base": base, **frames}
+    cols = {name: df.columns for name, df in tables.items()}
+    union = None
+    for tag, df in tables.items():
+        packed = [F.struct(*df.columns).alias(tag) if t == tag else F.lit(None).cast(tables[t].schema).alias(t) for t in tables]
+        part = df.select("opportunity_id", *packed)
+        union = part if union is None else union.unionByName(part)
+    grouped = union.groupBy("opportunity_id").agg(*[F.collect_list(t).alias(t) for t in tables])
+    keys = ("opportunity_id", "seller_uuid", "account_owner_id")
+    done = [f"__base_{c}" for c in cols["__base"]]
+    out = grouped.select(*frames, F.inline("__base").alias(*done))
+    for t in frames:
+        names = [f"__{t}_{c}" for c in cols[t]]
+        match = F.filter(t, _same_keys([k for k in keys if k in cols[t]]))
+        later = list(frames)[list(frames).index(t) + 1 :]
+        out = out.select(*later, *done, F.inline_outer(match).alias(*names))
+        done += names
+    return out.select(
+        *[F.col(f"__base_{c}").alias(c) for c in cols["__base"]],
+        *[F.col(f"__{t}_{c}").alias(c) for t in frames for c in cols[t] if c not in keys])
+
+
 def feature_table(
     src,
     p: P.FeatureParams = P.FeatureParams(),
     base: DataFrame | None = None,
     leads: DataFrame | None = None,
+    daily: DataFrame | None = None,
 ) -> DataFrame:
     """The 65-column per-package feature table (``features_latest``).
 
@@ -781,12 +813,11 @@ def feature_table(
     are staged once (written under ``spark.checkpoint.dir`` and read back)
     unless the caller passes them in.
     """
-    from renewlens.sources.store import stage
-
     base = stage(package_base(src, p), "package_base") if base is None else base
     leads = stage(lead_base(src, p), "lead_base") if leads is None else leads
     cm = city_month_renewal(src, p).withColumnRenamed("renewal_due_month", "__cut_month")
-    med = city_median_activity(base, city_daily_activity(leads), p).drop("city")
+    daily = city_daily_activity(leads) if daily is None else daily
+    med = city_median_activity(base, daily, p).drop("city")
     slots = slots_per_package(src).select("seller_uuid", "opportunity_id", "count_slots_pkg")
     prior = prior_packages(base, src, p).select(
         "seller_uuid", "opportunity_id", "seller_tot_packages_previous", "seller_tot_renewal_previous"
@@ -801,16 +832,8 @@ def feature_table(
         "package_duration", "package_duration_onefourth", "rate_price", "sales_price", "account_owner_id",
     ).dropDuplicates()
     sbd = sbd.withColumn("__cut_month", F.month("onefourth_cutoff_date"))
-    j = (
-        sbd.join(cm, ["city", "__cut_month"], "left")
-        .join(med, ["seller_uuid", "opportunity_id"], "left")
-        .join(slots, ["seller_uuid", "opportunity_id"], "left")
-        .join(prior, ["seller_uuid", "opportunity_id"], "left")
-        .join(lf, ["seller_uuid", "opportunity_id"], "left")
-        .join(comp, ["seller_uuid", "opportunity_id"], "left")
-        .join(tick, ["seller_uuid", "opportunity_id"], "left")
-        .join(own, ["account_owner_id", "opportunity_id"], "left")
-    )
+    frames = {"med": med, "slots": slots, "prior": prior, "lf": lf, "comp": comp, "tick": tick, "own": own}
+    j = merge_by_package(sbd.join(cm, ["city", "__cut_month"], "left"), frames)
     slots_c = F.col("count_slots_pkg")
     derived = {
         "seller_previous_renewal_pct": F.when(F.col("seller_tot_packages_previous") == 0, F.lit(0.0)).otherwise(

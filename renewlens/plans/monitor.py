@@ -93,8 +93,9 @@ def daily_run(spark: SparkSession, src, root: str, p: P.FeatureParams = P.Featur
         "prediction_history": f"{root}/prediction_reco_historical",
     }
     ft = C.feature_table(src, p)
-    store.write_dated(ft, paths["features_repository"], "feature_creation_date", p.as_of)
-    latest = spark.read.parquet(paths["features_repository"]).filter(F.col("feature_creation_date") == F.lit(p.as_of))
+    repository = store.DatedStore(spark, paths["features_repository"])
+    repository.write(ft, p.as_of)
+    latest = repository.read().filter(F.col("feature_creation_date") == F.lit(p.as_of))
     model = S.synthetic_model() if model is None else model
     scored = S.score_linear(S.scoring_set(latest), model)
     rec = R.recommend(scored, model, search).drop("applied_features", "applied_adjustments")

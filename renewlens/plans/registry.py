@@ -220,6 +220,55 @@ def q_feature_repository(spark, sf_dir):
     return M.runs_overview(spark.read.parquet(path))
 
 
+def q_feature_table_incremental(spark, sf_dir):
+    """C5, C7, S2: the run of the day from the state of the day before, which
+    reads one day of leads; equal to the full rebuild."""
+    import datetime as dt
+
+    from renewlens.plans.incremental import LeadState
+
+    src, day = _src(spark, sf_dir), FP.as_of
+    state = LeadState(spark, _fresh_root(spark, "lead_state"), FP)
+    state.update(src, day - dt.timedelta(days=1))
+    state.update(src, day)
+    return state.feature_table(src, day)
+
+
+def q_feature_repository_swapped(spark, sf_dir):
+    """K5: the run date swapped in twice by commit markers, the day before
+    cleared by an empty run; rows per run date."""
+    import datetime as dt
+
+    from renewlens.plans import monitor as M
+    from renewlens.sources.store import DatedStore
+
+    repo, day = DatedStore(spark, _fresh_root(spark, "features_swapped")), "feature_creation_date"
+    ft = stage(C.feature_table(_src(spark, sf_dir), FP), "features_latest")
+    before = FP.as_of - dt.timedelta(days=1)
+    repo.write(ft.withColumn(day, F.lit(before)), before)
+    repo.write(ft, FP.as_of)
+    repo.write(ft, FP.as_of)
+    repo.write(ft.limit(0), before)
+    repo.vacuum()
+    return M.runs_overview(repo.read())
+
+
+def q_prior_packages_recent(spark, sf_dir):
+    s, p = _src(spark, sf_dir), FP.backup()
+    return C.prior_packages(C.package_base(s, p), s, p)
+
+
+def q_lead_base_recent(spark, sf_dir):
+    return C.lead_base(_src(spark, sf_dir), FP.backup())
+
+
+def q_package_slots_products(spark, sf_dir):
+    """C1's slot_ids and product_ids, per package."""
+    base = C.package_base(_src(spark, sf_dir), FP)
+    return base.select("seller_uuid", "opportunity_id", "slot_ids", "product_ids").dropDuplicates().select(
+        "seller_uuid", "opportunity_id", F.array_join("slot_ids", ";").alias("slot_ids"), F.array_join("product_ids", ";").alias("product_ids"))
+
+
 def q_score_monitor(spark, sf_dir):
     """Q7 over the prediction history written by a full daily run."""
     from renewlens.plans import monitor as M
@@ -317,6 +366,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "owner_experience": q_owner_experience,
         "competitor_listings": q_competitor_listings,
         "feature_table": q_feature_table,
+        "feature_table_incremental": q_feature_table_incremental,
+        "feature_repository_swapped": q_feature_repository_swapped,
+        "prior_packages_recent": q_prior_packages_recent,
+        "lead_base_recent": q_lead_base_recent,
+        "package_slots_products": q_package_slots_products,
         "scoring_set": q_scoring_set,
         "score_logistic": q_score_logistic,
         "score_gbt": q_score_gbt,

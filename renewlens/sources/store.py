@@ -7,6 +7,8 @@
 ``StageScope``  owns the folders staged while it is open and frees them after
               their last reader.
 ``write_dated``  idempotent daily upsert of a dated table (K3 + K4 = K5).
+``DatedStore``  the same, crash-safe: a day is written under a run of its own
+              and becomes visible by one commit marker.
 ``append_history``  plain append with schema merge (K7).
 """
 
@@ -117,6 +119,64 @@ def clear_date(spark: SparkSession, path: str, date_col: str, day) -> None:
         fs.delete(p, True)
 
 
+class DatedStore:
+    """A table of run days whose days are replaced whole and at once (K5).
+
+    ``write`` puts the rows under a run folder that nobody reads yet and then
+    creates one empty marker, ``commits/<day>/<number>-<run>``; creating it is
+    the swap. Readers take the run of each day's highest marker, so a job that
+    dies before its marker leaves the old day as it was, an empty run clears
+    the day, and readers that listed the markers earlier still find their files
+    until ``vacuum``. Two writers of one day: the marker of the later number
+    wins, and a number is taken only once.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        jvm = spark.sparkContext._jvm
+        self._at = jvm.org.apache.hadoop.fs.Path
+        self._fs = self._at(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _names(self, folder: str) -> list[str]:
+        p = self._at(f"{self.path}/{folder}")
+        return sorted(x.getPath().getName() for x in self._fs.listStatus(p)) if self._fs.exists(p) else []
+
+    def _commits(self, day: str) -> list[str]:
+        return [x for x in self._names(f"commits/{day}") if not x.startswith((".", "_"))]
+
+    def write(self, df: DataFrame, day) -> None:
+        """Replace the rows of ``day`` by ``df``."""
+        run = uuid.uuid4().hex[:12]
+        df.write.parquet(f"{self.path}/runs/{day}/{run}")
+        self._commit(str(day), run)
+
+    def _commit(self, day: str, run: str) -> None:
+        number = int(self._commits(day)[-1].split("-")[0]) if self._commits(day) else 0
+        while True:
+            number += 1
+            if any(x.startswith(f"{number:09d}-") for x in self._commits(day)):
+                continue
+            if self._fs.mkdirs(self._at(f"{self.path}/commits/{day}")) and self._fs.createNewFile(self._at(f"{self.path}/commits/{day}/{number:09d}-{run}")):
+                return
+
+    def days(self) -> list[str]:
+        """Days that were committed, in order; some may hold no row."""
+        return [d for d in self._names("commits") if self._commits(d)]
+
+    def read(self, before=None) -> DataFrame | None:
+        """All rows (of days before ``before``); None where no day is stored."""
+        found = [f"{self.path}/runs/{d}/{self._commits(d)[-1].split('-')[1]}" for d in self.days() if before is None or d < str(before)]
+        return self.spark.read.option("mergeSchema", "true").parquet(*found) if found else None
+
+    def vacuum(self) -> None:
+        """Delete the runs that no day's last marker names."""
+        for d in self._names("runs"):
+            current = self._commits(d)[-1].split("-")[1] if self._commits(d) else None
+            for run in self._names(f"runs/{d}"):
+                if run != current:
+                    self._fs.delete(self._at(f"{self.path}/runs/{d}/{run}"), True)
+
+
 def append_history(df: DataFrame, path: str) -> None:
     """Plain append (the notebook's prediction history); not idempotent."""
     df.write.mode("append").parquet(path)
