@@ -4,8 +4,10 @@
 is a path; it is resolved where the task runs and loaded once a process. A
 ``.json`` file is read by ``tokenizers``; its ``.tiktoken`` twin holds the same
 vocabulary as ranks, gives the same ids (tests compare them) and is about four
-times as fast, so it is what the operators load by default. Strings of special
-tokens in a text are ordinary text.
+times as fast, so it is what the operators load by default. ``documents`` gives
+the ids that ``tokenizers`` gives by default: the string of a special token in a
+text is that token. ``encoder`` alone takes such strings for ordinary text, as
+the measures of quality rules should.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ import pyarrow as pa
 
 BPE = "byte_bpe_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
+#: The special tokens of the .json file, which its twin lacks.
+SPECIAL = {BPE: {"<|endoftext|>": 50256}}
 
 
 def locate(vocabulary: str) -> str:
@@ -31,15 +35,16 @@ def locate(vocabulary: str) -> str:
 
 
 @lru_cache(maxsize=4)
-def encoder(vocabulary: str = BPE):
-    """A function from a list of texts to a list of id lists."""
+def encoder(vocabulary: str = BPE, special: bool = False):
+    """A function from a list of texts to a list of id lists; with ``special``,
+    strings of special tokens are these tokens."""
     path = locate(vocabulary)
     if path.endswith(".json"):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
+        t.encode_special_tokens = not special
         return lambda texts: [x.ids for x in t.encode_batch(texts, add_special_tokens=False)]
     if path.endswith(".model"):
         import sentencepiece
@@ -51,7 +56,9 @@ def encoder(vocabulary: str = BPE):
 
     with open(path, "rb") as f:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-    e = tiktoken.Encoding(os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    e = tiktoken.Encoding(os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL.get(os.path.basename(path), {}))
+    if special and e.special_tokens_set:
+        return lambda texts: [e.encode(x, allowed_special="all") for x in texts]
     return lambda texts: [e.encode_ordinary(x) for x in texts]
 
 
@@ -67,7 +74,7 @@ def byte_pieces(vocabulary: str = PIECES) -> frozenset[int]:
 def documents(batches: Iterator[pa.RecordBatch], vocabulary: str = BPE, end: int | None = 0, rows: int = 128) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """Slices of the batches with each row's ids (a null text is empty),
     followed by ``end`` if given."""
-    encode = encoder(vocabulary)
+    encode = encoder(vocabulary, True)
     for batch in batches:
         for lo in range(0, batch.num_rows, rows):
             part = batch.slice(lo, rows)

@@ -14,16 +14,23 @@ from renewlens.llm import bfd_pack, bm25_pack, range_shards, tokens
 
 
 def _tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_ids_equal_those_of_tokenizers():
     texts = ["a", "", "  x\n\n y", "don't 12345 <|endoftext|> naïve 漢字   😀", "\t\r\n" * 5, "word " * 500]
     texts += ["a" + "".join(map(chr, range(i, i + 40))) + " 1" for i in (*range(0x80, 0x3000, 40), *range(0xA000, 0xD700, 400), *range(0xF900, 0xFFD0, 40))]
-    fast, plain = tokens.encoder(), _tokenizer()
+    texts += ["hello <|endoftext|> x", "a<|endoftext|>b <|endoftext|><|endoftext|>", "<|endoftext", " <|endoftext|>\n"]
+    fast, plain = tokens.encoder(special=True), _tokenizer()
     assert [list(x) for x in fast(texts)] == [x.ids for x in plain.encode_batch(texts, add_special_tokens=False)]
+    plain.encode_special_tokens = True
+    assert [list(x) for x in tokens.encoder()(texts)] == [x.ids for x in plain.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_packed_ids_hold_special_tokens(spark):
+    docs = spark.createDataFrame([(1, "hello <|endoftext|> x")], "doc_id long, text string")
+    (row,) = bfd_pack.pack(docs).collect()
+    assert np.frombuffer(row.ids, "<u2")[: row.n_tokens].tolist() == [31373, 220, 50256, 2124, 0]
 
 
 def _check(sequences, corpus, waste):
