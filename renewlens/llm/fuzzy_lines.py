@@ -43,9 +43,9 @@ ROWS = 4
 #: For each part the order in which an empty one tries the others.
 _TRIES = np.argsort(np.random.default_rng(0x11E5).random((BANDS * ROWS, BANDS * ROWS)), axis=0)
 _HAS_WORD = r"[^\x20\x09-\x0D]"
-_CHUNK = 1 << 19
+_CHUNK = 1 << 18
 #: Bytes of lines within which a repeated line is signed once.
-_STRETCH = 8 << 20
+_STRETCH = 4 << 20
 
 
 def char_shingles(column: pa.Array, k: int = SHINGLE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -162,6 +162,7 @@ def signatures(lines: DataFrame) -> DataFrame:
             if size >= _STRETCH:
                 yield from sign(held)
                 held, size = [], 0
+                pa.default_memory_pool().release_unused()
         if held and sum(b.num_rows for b in held):
             yield from sign(held)
 
