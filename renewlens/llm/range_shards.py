@@ -34,14 +34,30 @@ WHOLE = 0.05
 OVERHEAD = 16
 
 
+def _parted(keyed: DataFrame, total: int) -> DataFrame:
+    """``keyed`` with rows that no key can part made partable: where the rows of
+    one (k1, k2) hold more than a range, k2 becomes a hash of the row's place.
+    Such a table is written once first, so that a place never changes; there are
+    fewer than RANGES such keys, and without any nothing is written."""
+    hot = keyed.groupBy("__k1", "__k2").agg(F.sum("__size").alias("b"), F.count(F.lit(1)).alias("n"))
+    hot = stage(hot.where((F.col("b") > total / RANGES) & (F.col("n") > 1)).select("__k1", "__k2", F.lit(True).alias("__hot")), "shard-alike")
+    if hot.isEmpty():
+        return keyed
+    marked = keyed.join(F.broadcast(hot), ["__k1", "__k2"], "left")
+    place = F.xxhash64("__k2", F.monotonically_increasing_id())
+    return stage(marked.withColumn("__k2", F.when(F.col("__hot"), place).otherwise(F.col("__k2"))).drop("__hot"), "shard-keyed")
+
+
 def _splitters(keyed: DataFrame, total: int, ranges: int) -> np.ndarray:
-    """Quantile boundaries (k1, k2) of a size-weighted sample. The draw is by
-    hash of the record, so it repeats; a boundary is put before a whole key
-    unless that key fills ranges by itself."""
+    """Quantile boundaries (k1, k2) of a size-weighted sample of keys, at most
+    about twice ``ranges`` * KEYS_PER_RANGE whatever the rows of a key. The draw
+    is by hash, so it repeats; a boundary is put before a whole key unless that
+    key fills ranges by itself."""
     want = ranges * KEYS_PER_RANGE
     chance = F.col("__size") * F.lit(want / max(total, 1))
     u = F.pmod(F.xxhash64("__k1", "__k2", F.lit(8)), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    rows = keyed.where(u < chance).select("__k1", "__k2", F.greatest(chance, F.lit(1.0)).alias("w")).collect()
+    keys = keyed.groupBy("__k1", "__k2").agg(F.sum("__size").alias("__size"))
+    rows = keys.where(u < chance).select("__k1", "__k2", F.greatest(chance, F.lit(1.0)).alias("w")).collect()
     if not rows:
         return np.empty((0, 2), np.int64)
     k = np.array([(r[0], r[1]) for r in rows], np.int64)
@@ -104,6 +120,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, size: str | None = None) -> Dat
         "__size": own.cast("long"), "__k1": F.xxhash64(F.coalesce(F.xxhash64("text"), F.lit(0))), "__k2": F.xxhash64(F.lit(1), "doc_id")})
     total, n = keyed.agg(F.coalesce(F.sum("__size"), F.lit(0)), F.count(F.lit(1))).first()
     ranges = int(max(1, min(RANGES, n // 16)))
+    keyed = _parted(keyed, total)
     cuts = _splitters(keyed, total, ranges)
     ranged, slices = _subdivided(_ranged(keyed, cuts), cuts, total, ranges)
     # rows and bytes before each slice: a running sum within a range, on top of one over the ranges

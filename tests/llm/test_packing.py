@@ -128,3 +128,26 @@ def test_shards(docs, corpus, empty, spark):
     got = range_shards.shard(spark.createDataFrame(hot, "doc_id long, text string"), shards=10)
     sizes = [r.b for r in got.groupBy("shard").agg(F.sum("size").alias("b")).collect()]
     assert len(sizes) == 10 and max(sizes) < 1.06 * min(sizes)
+
+
+def test_shards_part_rows_that_are_alike(spark):
+    """A third of all rows equal in text and id, others null in both; columns
+    with the names of the results."""
+    rows = [(7 if i % 3 == 0 else i, "same" if i % 3 == 0 else f"text {i}", 1, "x", 2) for i in range(6000)]
+    rows += [(None, None, 1, "x", 2)] * 3000
+    df = spark.createDataFrame(rows, "doc_id long, text string, size int, shard string, slot int").repartition(7)
+    keyed = df.select("doc_id", "text", F.lit(20).alias("__size"), F.xxhash64("text").alias("__k1"), F.xxhash64("doc_id").alias("__k2"))
+    parted = range_shards._parted(keyed, 20 * 9000)
+    assert parted.groupBy("__k1", "__k2").count().agg(F.max("count")).first()[0] <= 9000 / range_shards.RANGES
+    got = range_shards.shard(df, shards=10)
+    assert sorted(got.columns) == sorted(df.columns)
+    per = got.groupBy("shard").agg(F.sum("size").alias("b"), F.count("*").alias("n"), F.min("slot").alias("a"), F.max("slot").alias("z"), F.countDistinct("slot").alias("d")).collect()
+    assert len(per) == 10 and sum(r.n for r in per) == 9000 and all(r.a == 0 and r.z == r.n - 1 == r.d - 1 for r in per)
+    assert max(r.b for r in per) < 1.06 * min(r.b for r in per)
+    assert sorted((r.doc_id or -1, r.text or "") for r in got.collect()) == sorted((r[0] or -1, r[1] or "") for r in rows)
+
+
+def test_small_groups_of_equal_texts_stay_together(spark):
+    rows = [(i, f"group {i % 900} " * 10) for i in range(4000)]
+    got = range_shards.shard(spark.createDataFrame(rows, "doc_id long, text string"), shards=10)
+    assert got.groupBy("text").agg(F.countDistinct("shard").alias("s")).where("s > 1").count() == 0
