@@ -2,10 +2,11 @@
 
 A text's vector holds the TF-IDF weights of its hashed byte trigrams (letters
 lower-cased, everything else one space), normalised. Per language several
-centroids are clustered from a bounded sample of labelled texts (``SAMPLE``
-documents of least id hash per language); document frequencies cover all
+centroids are clustered from a bounded sample of labelled texts (the ``SAMPLE``
+different texts of least hash per language); document frequencies cover all
 labelled texts. The nearest centroid by cosine gives the language; a text
-farther from it than almost all of the centroid's own members is rejected.
+clearly farther from it than almost all of the centroid's own members is
+rejected.
 """
 
 from __future__ import annotations
@@ -23,10 +24,14 @@ from pyspark.sql import functions as F
 from renewlens.llm import textbatch as tb
 
 DIMS = 4096
-#: Labelled documents per language that centroids are clustered from.
+#: Different labelled texts per language that centroids are clustered from.
 SAMPLE = 300
 CENTROIDS = 4
-#: Share of a centroid's nearest member's cosine that a text must reach.
+#: A centroid keeps at least this share of its language's sample.
+LEAST = 0.05
+#: Quantile of the members' cosines that a centroid reaches, and the share of it
+#: that a text must reach.
+QUANTILE = 0.02
 REACH = 0.8
 _CHUNK = 128
 
@@ -78,23 +83,32 @@ def vectors(c: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return v / np.where(norm > 0, norm, 1)
 
 
-def cluster(v: np.ndarray, k: int = CENTROIDS, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
-    """Spherical k-means from farthest-first seeds: centroids, and for each the
-    least cosine of its members."""
+def cluster(v: np.ndarray, k: int = CENTROIDS, rounds: int = 12, least: float = LEAST) -> tuple[np.ndarray, np.ndarray]:
+    """Spherical k-means from k-means++ seeds: centroids, and for each the low
+    quantile of its members' cosines. A centroid with too few members goes,
+    smallest first, and its members join the others, so that a stray text never
+    is a centroid by itself (unless the language has no other)."""
+    rng = np.random.default_rng(1)
     seeds = [int(np.argmax(v @ v.mean(axis=0)))]
     while len(seeds) < min(k, len(v)):
-        near = (v @ v[seeds].T).max(axis=1)
-        if near.min() > 0.999:
+        far = np.maximum(1 - (v @ v[seeds].T).max(axis=1), 0.0).astype(float) ** 2
+        if far.max() < 1e-6:
             break
-        seeds.append(int(np.argmin(near)))
+        seeds.append(int(rng.choice(len(v), p=far / far.sum())))
     c = v[seeds]
-    for _ in range(rounds):
-        own = np.argmax(v @ c.T, axis=1)
-        c = np.stack([v[own == j].mean(axis=0) if (own == j).any() else c[j] for j in range(len(c))])
-        c /= np.maximum(np.sqrt((c * c).sum(axis=1, keepdims=True)), 1e-12)
-    cos = v @ c.T
-    own = np.argmax(cos, axis=1)
-    reach = np.array([cos[own == j, j].min() if (own == j).any() else 1.0 for j in range(len(c))])
+    while True:
+        for _ in range(rounds):
+            own = np.argmax(v @ c.T, axis=1)
+            c = np.stack([v[own == j].mean(axis=0) if (own == j).any() else c[j] for j in range(len(c))])
+            c /= np.maximum(np.sqrt((c * c).sum(axis=1, keepdims=True)), 1e-12)
+        cos = v @ c.T
+        own = np.argmax(cos, axis=1)
+        members = np.bincount(own, minlength=len(c))
+        small = int(np.argmin(members))
+        if len(c) == 1 or members[small] >= max(2, least * len(v)):
+            break
+        c = np.delete(c, small, axis=0)
+    reach = np.array([np.quantile(cos[own == j, j], QUANTILE) for j in range(len(c))])
     return c.astype(np.float32), reach
 
 
@@ -122,13 +136,14 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS) -> Model:
         df[r["dim"]] = r["df"]  # dim -1 is the number of texts
     idf = (np.log((1 + df[-1]) / (1 + df[:-1])) + 0.01).astype(np.float32)
 
-    least = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = labelled.select("doc_id", "lang").withColumn("r", F.row_number().over(least)).where(F.col("r") <= sample).select("doc_id", "lang")
-    # at most ``sample`` ids a language
-    texts = labelled.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
+    # copies are one text, whatever their ids: at most ``sample`` rows a language reach its group
+    hashed = labelled.select("lang", "text", F.xxhash64("text").alias("h"))
+    least = W.partitionBy("lang").orderBy(F.xxhash64("h"), "h")
+    chosen = hashed.select("lang", "h").dropDuplicates().withColumn("r", F.row_number().over(least)).where(F.col("r") <= sample).select("lang", "h")
+    texts = hashed.join(chosen, ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.min("text").alias("text"))
 
     def clustered(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "text"]).drop_duplicates()
+        pdf = pdf.sort_values("text")
         v = np.concatenate([vectors(c, idf) for _, _, c in counts(pa.array(pdf["text"], pa.large_string()))])
         v = v[v.any(axis=1)]
         if not len(v):
@@ -136,7 +151,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS) -> Model:
         c, reach = cluster(v, k)
         return pd.DataFrame({"lang": pdf["lang"].iloc[0], "centroid": [x.tobytes() for x in c], "reach": reach})
 
-    found = texts.select("doc_id", "text", "lang").groupBy("lang").applyInPandas(clustered, "lang string, centroid binary, reach double").collect()
+    found = texts.select("text", "lang").groupBy("lang").applyInPandas(clustered, "lang string, centroid binary, reach double").collect()
     found.sort(key=lambda r: (r["lang"], r["centroid"]))
     centroids = np.array([np.frombuffer(r["centroid"], np.float32) for r in found], np.float32).reshape(len(found), DIMS)
     return Model([r["lang"] for r in found], centroids, np.array([r["reach"] for r in found]), idf)
