@@ -2,17 +2,20 @@
 
 Pass one scores the containers of each page (text in their paragraphs, less
 linked text) and names the best by its generalised path of tags and classes;
-one inside <article> or <main> stands for the nearest such element, whose
-heading and lead may lie beside it.
+one inside <article> or <main> stands for the nearest such element, and one
+with a heading ahead of it for the element that holds both, as heading and lead
+may lie beside it.
 Spark counts these votes per host. Pass two extracts the text of each page
-again from its host's winning paths, most votes first; a page that has none of
-them uses its own best container. Boilerplate elements (menus, headers,
+again from that one of its host's winning paths which scores best on the page;
+a page that has none of them, or whose own best container outweighs it by far
+(a template too rare to win), uses its own best container. Boilerplate elements (menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, comments) give no text in
 either pass.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from html import unescape
@@ -26,6 +29,13 @@ from renewlens.sources.store import stage
 
 #: Share of a host's votes that makes a path one of its winners.
 SHARE = 0.2
+#: A winner with under this share of the score of the page's best is passed over.
+LOST = 0.25
+#: Text beside a container, as a share of its own, up to which a heading ahead
+#: of it lifts the vote.
+BESIDE = 0.3
+#: Share of a host's pages on which a doubtful text block must repeat to go.
+REPEATS = 0.05
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -56,6 +66,11 @@ _DROP_WORDS = frozenset(
     "pagination popup promo promotion related respond replies share sharing sidebar signup social sponsor sponsored subscribe toolbar "
     "widget".split()
 )
+#: Words of reader comments, dropped without a vote.
+_COMMENT_WORDS = frozenset("comment comments disqus respond replies".split())
+#: Text elements: of these, a class that only partly consists of drop words is
+#: doubtful ("social-history"), and the host's pages decide.
+_TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote dd dt figcaption caption".split())
 _DROP_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 _ROOTS = frozenset(("html", "body", "article", "main"))
 _SPLIT = re.compile(r"[^a-z0-9]+")
@@ -63,7 +78,8 @@ _CAMEL = re.compile(r"([a-z0-9])([A-Z])")
 _DIGITS = re.compile(r"\d+")
 
 
-def _boiler(tag: str, attrs: dict[str, str]) -> bool:
+def _boiler(tag: str, attrs: dict[str, str]) -> bool | None:
+    """Whether an element is boilerplate; None: doubtful."""
     if tag in _DROP_TAGS:
         return True
     if not attrs or tag in _ROOTS:
@@ -72,20 +88,32 @@ def _boiler(tag: str, attrs: dict[str, str]) -> bool:
         return True
     if attrs.get("role", "").lower() in _DROP_ROLES:
         return True
-    words = _SPLIT.split(_CAMEL.sub(r"\1 \2", f"{attrs.get('class', '')} {attrs.get('id', '')}").lower())
-    return not _DROP_WORDS.isdisjoint(words)
+    words = set(_SPLIT.split(_CAMEL.sub(r"\1 \2", f"{attrs.get('class', '')} {attrs.get('id', '')}").lower())) - {""}
+    if _DROP_WORDS.isdisjoint(words):
+        return False
+    if tag in _TEXT_TAGS and not words <= _DROP_WORDS and _COMMENT_WORDS.isdisjoint(words):
+        return None
+    return True
+
+
+def _hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
 class Page:
-    """A page as a light tree: parents, generalised paths and text blocks."""
+    """A page as a light tree: parents, generalised paths and text blocks.
+    ``repeated``: paths of doubtful elements that are boilerplate on the host."""
 
-    def __init__(self, html: str | None):
+    def __init__(self, html: str | None, repeated: frozenset[str] = frozenset()):
         self.parent, self.tag, self.path, self.boiler = [-1], [""], [""], [False]
         self.blocks: list[tuple[int, list[tuple[str, int, bool]]]] = []
         self._stack = [0]
         self._links = 0
         self._pieces: list[tuple[str, int, bool]] = []
         self._read(html or "")
+        self.doubtful = [i for i, b in enumerate(self.boiler) if b is None]
+        for i in self.doubtful:
+            self.boiler[i] = self.path[i] in repeated
         for i, tag in enumerate(self.tag):  # a wrapper of the article isn't boilerplate for its class
             if tag in ("article", "main"):
                 p = self.parent[i]
@@ -181,9 +209,8 @@ class Page:
         text = " ".join("".join(t for t, n, _ in pieces if not self.dropped[n]).split())
         return text, sum(len(t) for t, n, link in pieces if link and not self.dropped[n])
 
-    def best(self) -> tuple[str, float] | None:
-        """Path and score of the best container; one inside an article (or main)
-        gives the path of that."""
+    def scores(self) -> dict[int, float]:
+        """Score of every container that holds text."""
         score: dict[int, float] = {}
         for at, pieces in self.blocks:
             text, linked = self._kept(pieces)
@@ -199,13 +226,83 @@ class Page:
                 at = self.parent[at]
                 while at > 0 and self.tag[at] not in _BLOCK:
                     at = self.parent[at]
+        return score
+
+    def _up(self, at: int) -> Iterator[int]:
+        while at > 0:
+            yield at
+            at = self.parent[at]
+
+    def _article(self, at: int) -> int:
+        return next((i for i in self._up(at) if self.tag[i] in ("article", "main")), at)
+
+    def _stands_for(self, at: int) -> int:
+        """The element a container votes for: the nearest article or main around
+        it, or the lowest element that holds it and, ahead of it, a heading with
+        little text beside, or itself."""
+        whole = self._article(at)
+        if at <= 0 or self.tag[whole] in ("article", "main"):
+            return whole
+        inside: dict[int, bool] = {}
+        sizes = []
+        for block, pieces in self.blocks:
+            if n := len(self._kept(pieces)[0]):
+                if block not in inside:
+                    inside[block] = at in self._up(block)
+                sizes.append((block, n, inside[block]))
+        own = sum(n for _, n, within in sizes if within)
+        first = next((i for i, x in enumerate(sizes) if x[2]), len(sizes))
+        if not any(self.tag[block] in ("h1", "h2") for block, _, _ in sizes[:first]):
+            return at
+        for whole in self._up(self.parent[at]):
+            held = [whole in self._up(block) for block, _, _ in sizes]
+            if sum(n for (_, n, _), h in zip(sizes, held, strict=True) if h) > (1 + BESIDE) * own:
+                break
+            if any(h and self.tag[x[0]] in ("h1", "h2") for x, h in zip(sizes[:first], held, strict=False)):
+                return whole
+        return at
+
+    def best(self) -> tuple[str, float] | None:
+        """Path and score of what the best container stands for."""
+        score = self.scores()
         if not score:
             return None
         at = min(score, key=lambda i: (-score[i], i))
-        whole = at
-        while whole > 0 and self.tag[whole] not in ("article", "main"):
-            whole = self.parent[whole]
-        return self.path[whole if whole > 0 else at], score[at]
+        return self.path[self._stands_for(at)], score[at]
+
+    def chosen(self, paths: list[str]) -> tuple[str | None, bool]:
+        """(path, whether by consensus): the winner that scores best on this page
+        (ties: the first), counted at the containers within it; the page's own
+        best where no winner holds text or all are outweighed by far."""
+        score = self.scores()
+        top: dict[str, float] = {}
+        own = max(score.values(), default=0.0)
+        for i, s in score.items() if paths else ():
+            whole = self._stands_for(i) if s == own else self._article(i)
+            for p in {self.path[whole], self.path[i]}.intersection(paths):
+                top[p] = max(top.get(p, 0.0), s)
+        if top:
+            path = min(top, key=lambda p: (-top[p], paths.index(p)))
+            if top[path] >= LOST * own:
+                return path, True
+        elif not score:  # text in links alone has no score
+            for path in paths:
+                if self.extract(path):
+                    return path, True
+        b = self.best()
+        return (b[0], False) if b else (None, False)
+
+    def marks(self) -> set[tuple[str, int]]:
+        """Path and hash of the text of every doubtful element."""
+        if not self.doubtful:
+            return set()
+        doubtful, texts = set(self.doubtful), {}
+        for at, pieces in self.blocks:
+            text = " ".join("".join(t for t, _, _ in pieces).split())
+            for i in self._up(at):
+                if i in doubtful and text:
+                    texts.setdefault(i, []).append(text)
+        return {(self.path[i], _hash("\n".join(t))) for i, t in texts.items()}
 
     def extract(self, path: str) -> str:
         """Text of all elements at a path: blocks joined by two line ends."""
@@ -217,25 +314,46 @@ class Page:
 
 
 def votes(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(host, path, votes, score): each page's vote for its best container."""
+    """(host, path, mark, page, votes, score): each page's vote for its best
+    container (mark and page null), and the doubtful text elements of all pages
+    by path, hash of their text (mark) and hash of the html (page)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                got = [Page(h).best() for h in part.column("html").to_pylist()]
-                rows = [(h, *b) for h, b in zip(part.column("host").to_pylist(), got, strict=True) if b]
+                rows = []
+                for host, text in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True):
+                    page = Page(text)
+                    if b := page.best():
+                        rows.append((host, b[0], None, None, b[1]))
+                    if marks := page.marks():
+                        whole = _hash(text)
+                        rows += [(host, path, mark, whole, 0.0) for path, mark in marks]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.float64())],
-                    ["host", "path", "score"])
+                    [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64(), pa.float64()))],
+                    ["host", "path", "mark", "page", "score"])
+
+    cast = pages.select(host_path(url)[0].alias("host"), F.col(html).alias("html")).mapInArrow(
+        run, "host string, path string, mark long, page long, score double")
+    return cast.groupBy("host", "path", "mark", "page").agg(F.count(F.lit(1)).alias("votes"), F.sum(F.round("score").cast("long")).alias("score"))
+
 
-    cast = pages.select(host_path(url)[0].alias("host"), F.col(html).alias("html")).mapInArrow(run, "host string, path string, score double")
-    return cast.groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes"), F.sum(F.round("score").cast("long")).alias("score"))
+def repeated(cast: DataFrame, share: float = REPEATS) -> DataFrame:
+    """(host, repeated): paths of doubtful elements that stand on at least
+    ``share`` of a host's voting pages and say each thing on two different pages
+    or more, on average. Copies of one page are one page."""
+    total = cast.where("mark IS NULL").groupBy("host").agg(F.sum("votes").alias("total"))
+    marks = cast.where("mark IS NOT NULL").groupBy("host", "path", "mark").agg(F.count(F.lit(1)).alias("n"))
+    per = marks.groupBy("host", "path").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("different"))
+    found = per.join(total, "host").where((F.col("n") >= share * F.col("total")) & (F.col("n") >= 2 * F.col("different")))
+    return found.groupBy("host").agg(F.sort_array(F.collect_list("path")).alias("repeated"))
 
 
 def winners(cast: DataFrame, share: float = SHARE) -> DataFrame:
     """(host, paths): the paths with at least ``share`` of a host's votes, most
     votes first; ties by score, then by name. At most 1 / share paths a host."""
+    cast = cast.where("mark IS NULL")
     total = cast.groupBy("host").agg(F.sum("votes").alias("total"))
     top = cast.join(total, "host").where(F.col("votes") >= share * F.col("total"))
     order = F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("v"), (-F.col("score")).alias("s"), "path")))
@@ -253,9 +371,11 @@ def extract(pages: DataFrame, share: float = SHARE) -> DataFrame:
     """
     own = [c for c in pages.columns if c not in ("text", "text_path", "by_consensus")]
     pages = pages.select(*own)
-    won = stage(winners(stage(votes(pages), "host-votes"), share), "host-paths").withColumnRenamed("host", "__host")
+    cast = stage(votes(pages), "host-votes")
+    won = stage(winners(cast, share).join(repeated(cast), "host", "left"), "host-paths").withColumnRenamed("host", "__host")
     # the written table's size decides how it is joined
-    joined = pages.withColumn("__h", host_path("url")[0]).join(won, F.col("__h") == F.col("__host"), "left").select(*own, F.col("paths").alias("__paths"))
+    joined = pages.withColumn("__h", host_path("url")[0]).join(won, F.col("__h") == F.col("__host"), "left").select(
+        *own, F.col("paths").alias("__paths"), F.col("repeated").alias("__repeated"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema.fields if f.name != "html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,19 +383,14 @@ def extract(pages: DataFrame, share: float = SHARE) -> DataFrame:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 texts, used, agreed = [], [], []
-                for html, paths in zip(part.column("html").to_pylist(), part.column("__paths").to_pylist(), strict=True):
-                    page = Page(html)
-                    text, path = "", None
-                    for path in paths or ():
-                        if text := page.extract(path):
-                            break
-                    agreed.append(bool(text))
-                    if not text and (b := page.best()):
-                        path = b[0]
-                        text = page.extract(path)
+                for html, paths, again in zip(*(part.column(c).to_pylist() for c in ("html", "__paths", "__repeated")), strict=True):
+                    page = Page(html, frozenset(again or ()))
+                    path, by_host = page.chosen(paths or [])
+                    text = page.extract(path) if path is not None else ""
+                    agreed.append(by_host and bool(text))
                     texts.append(text)
                     used.append(path if text else None)
-                keep = [c for c in part.schema.names if c not in ("html", "__paths")]
+                keep = [c for c in part.schema.names if c not in ("html", "__paths", "__repeated")]
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(c) for c in keep], pa.array(texts, pa.string()), pa.array(used, pa.string()), pa.array(agreed)],
                     [*keep, "text", "text_path", "by_consensus"])
