@@ -144,8 +144,8 @@ spans AS (
 )"""
 
 
-def _base_cte(backup: bool = False) -> str:
-    p = FP.backup() if backup else FP
+def _base_cte(backup: bool = False, ended: bool = False) -> str:
+    p = FP.backup() if backup else FP.training() if ended else FP
     first = f"{AS_OF} - {p.lookback_days}"
     measured = f"quarter_end > {first} AND quarter_end <= {AS_OF}" if p.cutoff_upper_bound else f"quarter_end >= {first}"
     return f"""{SPANS},
@@ -160,7 +160,7 @@ base_rows AS (
     CAST(year(ends) AS INTEGER) AS renewal_due_year, CAST(month(ends) AS INTEGER) AS renewal_due_month,
     sum(l.rate) AS rate_price, sum(l.sales) AS sales_price
   FROM (SELECT *, days // 4 AS quarter, starts + CAST(days // 4 AS INTEGER) AS quarter_end FROM spans
-        WHERE days >= 90 AND ends >= {AS_OF}) s
+        WHERE days >= 90 AND ends {'<' if ended else '>='} {AS_OF}) s
   JOIN profiles u ON u.profile_uuid = s.seller_uuid
   JOIN profile_phones h ON h.profile_id = u.id
   LEFT JOIN line_totals l USING (opportunity_id)
@@ -254,6 +254,18 @@ prior AS (
 )"""
 
 
+# The same for ended packages: those whose end lay before the package's cut-off.
+PRIOR_ENDED_CTE = f"""
+prior AS (
+  SELECT b.* EXCLUDE (cut), {FP.prior_smoothing} + h.n AS seller_tot_packages_previous, {FP.prior_smoothing} + h.n_renewed AS seller_tot_renewal_previous
+  FROM (SELECT DISTINCT city, seller_uuid, opportunity_id, package_start_date, package_end_date, onefourth_cutoff_date AS cut
+        FROM base_rows WHERE city IS NOT NULL) b,
+    LATERAL (SELECT count(*) AS n, count(*) FILTER (renewal_window = '45D Renewed') AS n_renewed
+             FROM (SELECT DISTINCT seller_uuid, opportunity_id, starts, ends, renewal_window FROM spans WHERE lower(renewal_window) <> 'add on')
+             WHERE seller_uuid = b.seller_uuid AND ends < b.cut AND ends >= b.package_start_date - 1500) h
+)"""
+
+
 # -- C5 leads of the first quarter ---------------------------------------------------
 # Each measure counts its own distinct tuple of lead columns. Fixed values:
 # category labels and the output columns they belong to.
@@ -331,6 +343,20 @@ city_month AS (
 )"""
 
 
+# The same for ended packages, by cut-off: same calendar month, ended before it.
+CITY_CUTOFF_CTE = f"""
+city_month AS (
+  SELECT b.city, b.cut, CAST(coalesce(sum(weight), 0) AS BIGINT) AS total_opportunities_citylevel_monthly,
+    CAST(coalesce(sum(weight) FILTER (e.renewal_window = '45D Renewed'), 0) AS BIGINT) AS tot_renewed_opportunities_citylevel_monthly,
+    round(tot_renewed_opportunities_citylevel_monthly * 100 / nullif(total_opportunities_citylevel_monthly, 0), 2) AS renewal_pct_citylevel_monthly
+  FROM (SELECT DISTINCT city, onefourth_cutoff_date AS cut FROM base_rows) b
+  LEFT JOIN (SELECT s.city, s.ends, s.renewal_window, greatest((SELECT count(*) FROM price_lines l WHERE l.opportunity_id = s.opportunity_id), 1) AS weight
+             FROM spans s WHERE reported AND lower(profile_type) IN ('broker', 'builder') AND year(ends) >= {FP.city_since_year}) e
+    ON e.city = b.city AND month(e.ends) = month(b.cut) AND e.ends < b.cut
+  GROUP BY b.city, b.cut
+)"""
+
+
 # -- C7 / C8 city activity ----------------------------------------------------------
 _CITY_LISTINGS = _named("listings_", _BEDROOMS, "_city_daily", others="listings_bhk_others_city_daily")
 _CITY_LEADS = _named("leads_", _BEDROOMS, "_city_daily", others="leads_bhk_others_city_daily")
@@ -460,14 +486,17 @@ _IDENTITY = (
 )
 
 
-def features_latest_ctes() -> list[str]:
-    """All CTEs up to ``features_latest`` (the 65-column table)."""
+def features_latest_ctes(ended: bool = False) -> list[str]:
+    """All CTEs up to ``features_latest`` (the 65-column table); for ended
+    packages, as of their own cut-off."""
+    months = "city_month" if ended else "(SELECT * RENAME (renewal_due_month AS cut_month) FROM city_month)"
+    on_month = "m.cut = b.onefourth_cutoff_date" if ended else "m.cut_month = month(b.onefourth_cutoff_date)"
     typed = ",\n    ".join(
         f"CAST(coalesce({value}, 0) AS {'DOUBLE' if name in _DOUBLES else 'BIGINT'}) AS {name}" for name, value in _VALUES.items())
     final = f"""
 joined AS (
   SELECT * FROM (FROM base_rows WHERE city IS NOT NULL) b
-  LEFT JOIN (SELECT * RENAME (renewal_due_month AS cut_month) FROM city_month) m ON m.city = b.city AND m.cut_month = month(b.onefourth_cutoff_date)
+  LEFT JOIN {months} m ON m.city = b.city AND {on_month}
   LEFT JOIN (SELECT * EXCLUDE (city) FROM city_medians) USING (seller_uuid, opportunity_id)
   LEFT JOIN (SELECT seller_uuid, opportunity_id, count_slots_pkg FROM slots) USING (seller_uuid, opportunity_id)
   LEFT JOIN (SELECT * EXCLUDE (city, package_start_date, package_end_date) FROM prior) USING (seller_uuid, opportunity_id)
@@ -482,7 +511,8 @@ features_latest AS (
   FROM (SELECT * EXCLUDE (city_1) FROM joined) b
 )"""
     return [
-        _base_cte(), _lead_ctes(), SLOTS_CTE, _prior_cte(), LEAD_FEATURE_CTE, CITY_MONTH_CTE,
+        _base_cte(ended=ended), _lead_ctes(), SLOTS_CTE, PRIOR_ENDED_CTE if ended else _prior_cte(), LEAD_FEATURE_CTE,
+        CITY_CUTOFF_CTE if ended else CITY_MONTH_CTE,
         CITY_DAILY_CTE, CITY_MEDIAN_CTE, TICKET_CTE, OWNER_CTE, COMPETITOR_CTE, final,
     ]
 
@@ -687,6 +717,21 @@ SELECT g.opportunity_id, g.feature, r.v AS original_value, round(r.new_value, 6)
 FROM greedy g JOIN ranked r ON r.opportunity_id = g.opportunity_id AND r.feature = g.feature
 WHERE g.took"""
     q["recommendation_any_model"] = q["recommendation_summary"]
+    border = f"{AS_OF} - {FP.holdout_days}"
+    scoring = _scoring_ctes()
+    training = [*features_latest_ctes(ended=True), scoring[0], f"""
+training AS (
+  SELECT s.*, if(r.renewal_window = '45D Renewed', 1.0, 0.0)::DOUBLE AS label,
+    CASE WHEN onefourth_cutoff_date >= {border} THEN 'test' WHEN package_end_date < {border} THEN 'train' ELSE 'gap' END AS split
+  FROM scoring_set s JOIN renewal_report r USING (opportunity_id)
+)"""]
+    q["training_set"] = _with(*training) + "SELECT * FROM training"
+    q["model_evaluation"] = _with(*training, scoring[1]) + """
+SELECT split, count(*) AS n, round(avg(label), 9) AS renewal_rate, round(avg(initial_prob), 9) AS mean_prob,
+  round(avg(power(initial_prob - label, 2)), 9) AS brier,
+  round(avg(-ln(greatest(1e-15, 1 - abs(initial_prob - label)))), 9) AS log_loss,
+  round(avg(CAST((initial_prob >= 0.5) = (label = 1) AS INTEGER)), 9) AS accuracy
+FROM training JOIN scored USING (opportunity_id) GROUP BY split"""
     inputs = ", ".join(_INPUTS)
     q["recommendation_values"] = _with(*greedy) + f"""
 SELECT u.opportunity_id, u.feature, u.original_value, round(coalesce(a.new_value, u.original_value), 6) AS new_value,

@@ -41,6 +41,11 @@ class FeatureParams:
     city_month_dedupe: bool = False
     # width of the day buckets used by the interval joins
     bucket_days: int = 32
+    # packages that have ended, as of their own cut-off (training), in place of
+    # the running ones; outcomes count only where known before that cut-off
+    ended: bool = False
+    # training: packages cut off within these last days are the test part
+    holdout_days: int = 180
 
     def backup(self) -> "FeatureParams":
         """Parameters of the backup feature notebook."""
@@ -48,6 +53,10 @@ class FeatureParams:
             self, cutoff_upper_bound=True, lead_history_days=1130, prior_smoothing=0
         )
 
+    def training(self) -> "FeatureParams":
+        """Ended packages whose city windows lie in the lead history."""
+        return replace(self, ended=True, lookback_days=self.lead_history_days - self.city_history_days)
+
 
 # ---------------------------------------------------------------------------
 # Category labels and maps that must equal the notebooks'.

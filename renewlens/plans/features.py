@@ -69,7 +69,8 @@ BASE_KEYS = [
 
 
 def package_base(src, p: P.FeatureParams = P.FeatureParams()) -> DataFrame:
-    """Packages near their quarter point, one row per (package, rank, phone).
+    """Packages near their quarter point, one row per (package, rank, phone);
+    with ``p.ended`` those that ended before the run date instead.
 
     The 1:N price lines are summed per package *before* the join and scaled
     by the multiplicity of identical base rows, which equals summing after
@@ -91,7 +92,7 @@ def package_base(src, p: P.FeatureParams = P.FeatureParams()) -> DataFrame:
     cut = F.col("onefourth_cutoff_date")
     lower_bound = F.date_sub(_d(p.as_of), p.lookback_days)
     cond = (
-        (F.col("package_end_date") >= _d(p.as_of))
+        (F.col("package_end_date") < _d(p.as_of) if p.ended else F.col("package_end_date") >= _d(p.as_of))
         & F.lower("profile_type").isin(*p.profile_types)
         & (F.col("package_duration") >= p.min_duration_days)
     )
@@ -278,6 +279,9 @@ def prior_packages(base: DataFrame, src, p: P.FeatureParams = P.FeatureParams())
     are running counts per seller (``count_upto``). Of rows with end < start
     (not produced by min start / max end, but handled for exactness) those that
     fail only the second bound are counted on both dates (``count_dominated``).
+
+    With ``p.ended`` only packages that ended before the package's own quarter
+    cut-off count, as only their outcome was known then.
     """
     # a NULL date satisfies neither bound
     prev = previous_packages(src).filter(F.col("prev_start").isNotNull() & F.col("prev_end").isNotNull())
@@ -287,6 +291,8 @@ def prior_packages(base: DataFrame, src, p: P.FeatureParams = P.FeatureParams())
             "__y": F.date_sub("package_start_date", p.prior_lookback_days + 1),
         }
     )
+    if p.ended:
+        return _prior_outcomes(base, prev, p)
     meas = {"n": F.lit(1), "r": F.col("flag")}
     well = prev.filter(F.col("prev_start") <= F.col("prev_end")).select("seller_uuid", "prev_end", "flag")
     a = count_upto(pts, prev, ["seller_uuid"], "__x", "prev_start", meas, prefix="a_")
@@ -305,6 +311,22 @@ def prior_packages(base: DataFrame, src, p: P.FeatureParams = P.FeatureParams())
     )
 
 
+def _prior_outcomes(base: DataFrame, prev: DataFrame, p: P.FeatureParams) -> DataFrame:
+    """``prior_packages`` of ended packages: start - 1500 <= prev_end < cut-off,
+    a difference of two running counts (the first bound lies before the second)."""
+    keys = PKG + ["package_start_date", "package_end_date"]
+    pts = base_packages(base, "package_start_date", "package_end_date", "onefourth_cutoff_date").filter(F.col("city").isNotNull()).withColumns(
+        {"__x": F.date_sub("onefourth_cutoff_date", 1), "__y": F.date_sub("package_start_date", p.prior_lookback_days + 1)})
+    meas = {"n": F.lit(1), "r": F.col("flag")}
+    hi = count_upto(pts, prev, ["seller_uuid"], "__x", "prev_end", meas, prefix="a_")
+    both = count_upto(hi, prev, ["seller_uuid"], "__y", "prev_end", meas, prefix="b_")
+    return both.select(
+        *keys,
+        (F.col("a_n") - F.col("b_n") + p.prior_smoothing).cast("long").alias("seller_tot_packages_previous"),
+        (F.col("a_r") - F.col("b_r") + p.prior_smoothing).cast("long").alias("seller_tot_renewal_previous"),
+    )
+
+
 def package_recency_rank(base: DataFrame, src) -> DataFrame:
     """Rank of each base package among its seller's (non add-on) packages by
     start date, newest first: ``rank() over (partition by seller order by
@@ -437,9 +459,13 @@ def lead_features(base: DataFrame, leads: DataFrame, p: P.FeatureParams = P.Feat
 # C6 city-month renewal rate
 # ---------------------------------------------------------------------------
 
-def city_month_renewal(src, p: P.FeatureParams = P.FeatureParams()) -> DataFrame:
+def city_month_renewal(src, p: P.FeatureParams = P.FeatureParams(), base: DataFrame | None = None) -> DataFrame:
     """Packages and renewals per city x calendar month of the package end.
 
+    With ``base``: per city x quarter cut-off of its packages, the packages that
+    end in the cut-off's calendar month and ended before the cut-off, so that no
+    later outcome counts; (city, onefourth_cutoff_date) in place of the month.
+
     The notebook LEFT joins the 1:N price lines without using them, which
     multiplies each package by its number of lines; that factor is computed
     from per-package line counts instead of joining the lines
@@ -450,7 +476,7 @@ def city_month_renewal(src, p: P.FeatureParams = P.FeatureParams()) -> DataFrame
         F.lower("profile_type").isin(*p.profile_types)
         & (F.year("max_end_datetime") >= p.city_since_year)
         & F.col("city").isNotNull()
-    ).select("city", "opportunity_id", F.month("max_end_datetime").alias("renewal_due_month"))
+    ).select("city", "opportunity_id", F.month("max_end_datetime").alias("renewal_due_month"), F.to_date("max_end_datetime").alias("__end"))
     rows = sr.join(nrr, "opportunity_id")
     if p.city_month_dedupe:
         mult = F.lit(1)
@@ -458,13 +484,21 @@ def city_month_renewal(src, p: P.FeatureParams = P.FeatureParams()) -> DataFrame
         lines = price_line_totals(src).select("opportunity_id", "__lines")
         rows = rows.join(lines, "opportunity_id", "left")
         mult = F.coalesce(F.col("__lines"), F.lit(1))
-    agg = rows.groupBy("city", "renewal_due_month").agg(
-        F.sum(F.when(F.col("opportunity_id").isNotNull(), mult).otherwise(0)).alias("total_opportunities_citylevel_monthly"),
-        F.sum(_renewed_flag(F.col("renewal_window")) * mult).alias("tot_renewed_opportunities_citylevel_monthly"),
-    )
+    count = F.when(F.col("opportunity_id").isNotNull(), mult).otherwise(0)
+    renewed = _renewed_flag(F.col("renewal_window")) * mult
+    total, won = "total_opportunities_citylevel_monthly", "tot_renewed_opportunities_citylevel_monthly"
+    if base is None:
+        when = "renewal_due_month"
+        agg = rows.groupBy("city", when).agg(F.sum(count).alias(total), F.sum(renewed).alias(won))
+    else:
+        when = "onefourth_cutoff_date"
+        pts = base.select("city", when).dropDuplicates().withColumns(
+            {"renewal_due_month": F.month(when), "__before": F.date_sub(when, 1)})
+        events = rows.select("city", "renewal_due_month", "__end", count.alias("__n"), renewed.alias("__r"))
+        agg = count_upto(pts, events, ["city", "renewal_due_month"], "__before", "__end", {total: F.col("__n"), won: F.col("__r")})
     return agg.select(
         "city",
-        "renewal_due_month",
+        when,
         F.col("total_opportunities_citylevel_monthly").cast("long").alias("total_opportunities_citylevel_monthly"),
         F.col("tot_renewed_opportunities_citylevel_monthly").cast("long").alias("tot_renewed_opportunities_citylevel_monthly"),
         X.guarded_pct("tot_renewed_opportunities_citylevel_monthly", "total_opportunities_citylevel_monthly").alias(
@@ -815,7 +849,10 @@ def feature_table(
     """
     base = stage(package_base(src, p), "package_base") if base is None else base
     leads = stage(lead_base(src, p), "lead_base") if leads is None else leads
-    cm = city_month_renewal(src, p).withColumnRenamed("renewal_due_month", "__cut_month")
+    if p.ended:
+        cm, month = city_month_renewal(src, p, base), "onefourth_cutoff_date"
+    else:
+        cm, month = city_month_renewal(src, p).withColumnRenamed("renewal_due_month", "__cut_month"), "__cut_month"
     daily = city_daily_activity(leads) if daily is None else daily
     med = city_median_activity(base, daily, p).drop("city")
     slots = slots_per_package(src).select("seller_uuid", "opportunity_id", "count_slots_pkg")
@@ -833,7 +870,7 @@ def feature_table(
     ).dropDuplicates()
     sbd = sbd.withColumn("__cut_month", F.month("onefourth_cutoff_date"))
     frames = {"med": med, "slots": slots, "prior": prior, "lf": lf, "comp": comp, "tick": tick, "own": own}
-    j = merge_by_package(sbd.join(cm, ["city", "__cut_month"], "left"), frames)
+    j = merge_by_package(sbd.join(cm, ["city", month], "left"), frames)
     slots_c = F.col("count_slots_pkg")
     derived = {
         "seller_previous_renewal_pct": F.when(F.col("seller_tot_packages_previous") == 0, F.lit(0.0)).otherwise(

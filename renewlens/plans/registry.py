@@ -277,15 +277,29 @@ def q_score_monitor(spark, sf_dir):
     return M.score_monitor(spark.read.parquet(paths["prediction_history"]))
 
 
+def q_training_set(spark, sf_dir):
+    from renewlens.plans import scoring as S
+
+    return S.training_set(_src(spark, sf_dir), FP)
+
+
+def q_model_evaluation(spark, sf_dir):
+    """The linear model's scores of the training set, judged per split."""
+    from renewlens.plans import scoring as S
+
+    rows = stage(S.training_set(_src(spark, sf_dir), FP), "training_set")
+    return S.evaluate(rows, S.score_linear(rows, S.synthetic_model()))
+
+
 def q_score_gbt(spark, sf_dir):
-    """M2 with a Spark ML model: gradient-boosted trees fitted on the stored
-    scoring set (label: renewal flag of the package), then applied in one
-    transform. Rows-only check: tree fitting has no SQL equivalent."""
+    """M2 with a Spark ML model: gradient-boosted trees fitted on ended packages
+    as of their own cut-off, then applied to the scoring set in one transform.
+    Rows-only check: tree fitting has no SQL equivalent."""
     from renewlens.plans import scoring as S
 
     src = _src(spark, sf_dir)
     ss = stage(S.scoring_set(C.feature_table(src, FP)), "scoring_set")
-    model = S.fit_gbt(ss, S.renewal_labels(src))
+    model = S.fit_gbt(stage(S.training_set(src, FP), "training_set"))
     return S.score_table(S.score_with_pipeline(ss, model))
 
 
@@ -296,7 +310,7 @@ def q_recommendations_gbt(spark, sf_dir):
 
     src = _src(spark, sf_dir)
     ss = stage(S.scoring_set(C.feature_table(src, FP)), "scoring_set")
-    model = S.fit_gbt(ss, S.renewal_labels(src))
+    model = S.fit_gbt(stage(S.training_set(src, FP), "training_set"))
     scorer = G.pipeline_scorer(model)
     scored = G.with_effects(stage(S.score_with_pipeline(ss, model), "scored_gbt"), scorer)
     return R.recommendation_summary(G.recommend_with_model(scored, scorer, G.effect))
@@ -373,6 +387,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "package_slots_products": q_package_slots_products,
         "scoring_set": q_scoring_set,
         "score_logistic": q_score_logistic,
+        "training_set": q_training_set,
+        "model_evaluation": q_model_evaluation,
         "score_gbt": q_score_gbt,
         "adjustment_candidates": q_adjustment_candidates,
         "first_beneficial_step": q_first_beneficial_step,

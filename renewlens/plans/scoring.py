@@ -166,15 +166,34 @@ def renewal_labels(src) -> DataFrame:
     )
 
 
-def fit_gbt(scoring: DataFrame, labels: DataFrame, max_iter: int = 10, max_depth: int = 3, seed: int = 42):
+def training_set(src, p: P.FeatureParams = P.FeatureParams()) -> DataFrame:
+    """Model inputs of ended packages as of their own quarter cut-off, with
+    ``label`` and ``split`` (M2's data; the notebooks ship a fitted model only).
+
+    Every feature window ends at the cut-off, and the outcomes of other packages
+    (prior packages, city-month rate, owner history) count only where they ended
+    by then, so no row holds its own label or a later one. Split by time: a
+    package is ``test`` if cut off in the last ``holdout_days``, ``train`` if it
+    ended before them, and ``gap`` otherwise (its label came after the first
+    test cut-off). Packages without a renewal report row, and add-ons, are not in.
+    """
+    p = p.training()
+    border = F.date_sub(F.lit(p.as_of), p.holdout_days)
+    split = F.when(F.col("onefourth_cutoff_date") >= border, "test").when(F.col("package_end_date") < border, "train").otherwise("gap")
+    rows = scoring_set(C.feature_table(src, p)).join(renewal_labels(src), "opportunity_id")
+    return rows.withColumn("split", split)
+
+
+def fit_gbt(training: DataFrame, max_iter: int = 10, max_depth: int = 3, seed: int = 42):
     """Fit a Spark ML pipeline (assembler + gradient-boosted trees) on the 57
-    model inputs. Training is distributed by Spark ML; nothing is collected."""
+    model inputs of the ``train`` rows of a ``training_set``, and on nothing
+    else. Training is distributed by Spark ML; nothing is collected."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
     feats = [F.col(f).cast("double").alias(f) for f in MODEL_FEATURES]
-    train = scoring.select("opportunity_id", *feats).join(labels, "opportunity_id")
+    train = training.filter(F.col("split") == "train").select("opportunity_id", *feats, "label")
     pipe = Pipeline(
         stages=[
             VectorAssembler(inputCols=list(MODEL_FEATURES), outputCol="features", handleInvalid="keep"),
@@ -184,6 +203,22 @@ def fit_gbt(scoring: DataFrame, labels: DataFrame, max_iter: int = 10, max_depth
     return pipe.fit(train)
 
 
+def evaluate(training: DataFrame, scored: DataFrame) -> DataFrame:
+    """Per split: rows, renewal rate, mean probability, Brier score, log loss
+    (probabilities held off 0 and 1 by 1e-15) and accuracy at 0.5, from a
+    ``training_set`` and its scores (opportunity_id, initial_prob)."""
+    y, q = F.col("label"), F.col("initial_prob")
+    held = F.greatest(F.lit(1e-15), F.least(F.lit(1 - 1e-15), q))
+    return training.select("opportunity_id", "split", "label").join(scored.select("opportunity_id", "initial_prob"), "opportunity_id").groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.round(F.avg(y), 9).alias("renewal_rate"),
+        F.round(F.avg(q), 9).alias("mean_prob"),
+        F.round(F.avg((q - y) * (q - y)), 9).alias("brier"),
+        F.round(F.avg(-(y * F.log(held) + (1 - y) * F.log(1 - held))), 9).alias("log_loss"),
+        F.round(F.avg(((q >= 0.5) == (y == 1)).cast("double")), 9).alias("accuracy"),
+    )
+
+
 def score_with_pipeline(scoring: DataFrame, pipeline_model) -> DataFrame:
     """M2 with a fitted ``PipelineModel`` whose first stage assembles the inputs."""
     from pyspark.ml.functions import vector_to_array
