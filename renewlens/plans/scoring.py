@@ -8,9 +8,9 @@ classifier that is not shipped. Two scorers are offered:
   the linear SHAP value ``w * (x - center)`` (the explainer's background
   mean is ``center``). The default coefficients (``synthetic_model``) are
   synthetic, chosen only to exercise the search on the test tables.
-* ``score_with_spark_ml``: any fitted Spark ML model that emits a
-  ``probability`` vector (e.g. a ``PipelineModel`` ending in
-  ``GBTClassifier``), applied with ``transform`` in one pass.
+* ``score_with_pipeline``: any fitted Spark ML pipeline that emits a
+  ``probability`` vector (e.g. one of ``fit_gbt``), applied with ``transform``
+  in one pass.
 """
 
 from __future__ import annotations
@@ -77,12 +77,6 @@ class LinearModel:
         """Linear SHAP value of ``feature`` for the current row."""
         return F.lit(float(self.weight(feature))) * (F.col(feature).cast("double") - F.lit(float(self.center(feature))))
 
-    def sql_logit(self) -> str:
-        z = repr(float(self.intercept))
-        for f, w, c in self.terms:
-            z = f"({z} + CAST({float(w)!r} AS DOUBLE) * (CAST({f} AS DOUBLE) - CAST({float(c)!r} AS DOUBLE)))"
-        return z
-
 
 def sigmoid(z: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
@@ -140,19 +134,6 @@ def score_linear(scoring: DataFrame, model: LinearModel) -> DataFrame:
     return x.withColumn("__z", model.logit()).withColumn("initial_prob", sigmoid(F.col("__z")))
 
 
-def score_with_spark_ml(scoring: DataFrame, fitted_model, features_col: str = "features") -> DataFrame:
-    """M1 + M2 with a fitted Spark ML classifier: assemble the 57 inputs into
-    a vector and read P(class 1) from the ``probability`` column."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-
-    feats = [F.col(f).cast("double").alias(f) for f in MODEL_FEATURES]
-    x = scoring.select("opportunity_id", *feats)
-    vec = VectorAssembler(inputCols=list(MODEL_FEATURES), outputCol=features_col, handleInvalid="keep").transform(x)
-    out = fitted_model.transform(vec)
-    return out.select("opportunity_id", *MODEL_FEATURES, vector_to_array("probability")[1].alias("initial_prob"))
-
-
 def score_table(scored: DataFrame) -> DataFrame:
     """Registered view of M2: one rounded probability per package."""
     return scored.select("opportunity_id", F.round("initial_prob", PROB_DIGITS).alias("initial_prob"))

@@ -184,7 +184,3 @@ def append_history(df: DataFrame, path: str) -> None:
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
-
-
-def with_run_date(df: DataFrame, day, col: str = "model_run_date") -> DataFrame:
-    return df.select(F.lit(day).alias(col), *df.columns)
