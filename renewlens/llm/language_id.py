@@ -140,7 +140,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS) -> Model:
     hashed = labelled.select("lang", "text", F.xxhash64("text").alias("h"))
     least = W.partitionBy("lang").orderBy(F.xxhash64("h"), "h")
     chosen = hashed.select("lang", "h").dropDuplicates().withColumn("r", F.row_number().over(least)).where(F.col("r") <= sample).select("lang", "h")
-    texts = hashed.join(chosen, ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.min("text").alias("text"))
+    texts = hashed.join(F.broadcast(chosen), ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.min("text").alias("text"))
 
     def clustered(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("text")
