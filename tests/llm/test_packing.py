@@ -115,6 +115,86 @@ def test_neighbours_come_by_bm25_score():
     assert windows[0][1][0] == int(np.argmax(s))
 
 
+def _brute(rests, k1=bm25_pack.K1, b=bm25_pack.B):
+    """All BM25 scores (seed, rest) in doubles."""
+    n, mean = len(rests), np.mean([len(r) for r in rests])
+    size = max(int(r.max()) for r in rests) + 1
+    tf = np.stack([np.bincount(r, minlength=size) for r in rests]).astype(float)
+    df = (tf > 0).sum(0)
+    idf = np.maximum(0, np.log((n - df + 0.5) / (df + 0.5)))
+    w = idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * tf.sum(1, keepdims=True) / mean))
+    out = (tf > 0).astype(float) @ w.T
+    np.fill_diagonal(out, -1)
+    return out, df, float(mean)
+
+
+def _random_rests(n, vocabulary, seed):
+    rng = np.random.default_rng(seed)
+    p = 1 / np.arange(1, vocabulary + 1)
+    return [rng.choice(vocabulary, m, p=p / p.sum()).astype("<u2") for m in rng.integers(1, 300, n)]
+
+
+def test_neighbours_of_all_seeds_through_the_whole_index(spark, monkeypatch):
+    """Recall of the ten best against all rests, over several blocks and shards."""
+    rests = _random_rests(900, 700, 4)
+    rests[5:9] = [rests[4]] * 4  # equal rests tie
+    want, df, mean = _brute(rests)
+    monkeypatch.setattr(bm25_pack, "SEED_BLOCK", 40)
+    monkeypatch.setattr(bm25_pack, "INDEX_SHARD", 250)
+    index = spark.createDataFrame([(i, r.tobytes()) for i, r in enumerate(rests)], "row long, ids binary").repartition(5)
+    seeds = index.where("row % 7 = 0")
+    got = {r.seed: r for r in bm25_pack.neighbours(seeds, index, df, 900, mean, k=10).collect()}
+    hits = total = 0
+    for i in range(0, 900, 7):
+        best = np.sort(want[i])[::-1][:10]
+        best = best[best > 0]
+        found = got[i].hits if i in got else []
+        assert len(found) == len(best) and i not in {h.rest for h in found}
+        assert np.allclose([-h.neg for h in found], best, rtol=1e-4)
+        assert all(abs(want[i][h.rest] + h.neg) < 1e-3 and h.length == len(rests[h.rest]) for h in found)
+        hits += sum(want[i][h.rest] >= best[-1] - 1e-4 for h in found)
+        total += len(best)
+    assert total > 1000 and hits / total >= 0.99
+
+
+def test_tiles_in_chunks_and_batches(monkeypatch):
+    rests = _random_rests(700, 500, 5)
+    want, df, mean = _brute(rests)
+    monkeypatch.setattr(bm25_pack, "_CHUNK", 256)
+    monkeypatch.setattr(bm25_pack, "_BATCH", 9)
+    terms, tf = zip(*(np.unique(r, return_counts=True) for r in rests), strict=True)
+    tile = bm25_pack.Tile(df, 700, mean, 6)
+    assert 0 < tile.width < (df > 0).sum()
+    score, place = tile.best(list(terms[:50]), list(terms), list(tf), np.array([len(r) for r in rests]))
+    np.fill_diagonal(want, 0)
+    for i in range(50):
+        own = place[i] != i
+        np.testing.assert_allclose(score[i][own][:5], np.sort(want[i])[::-1][:5], rtol=1e-4)
+
+
+def test_neighbours_are_taken_once_and_fit(spark):
+    rng = np.random.default_rng(6)
+    lists, room = [], {}
+    for s in range(60):
+        room[s] = int(rng.integers(0, 400))
+        rests = rng.choice(80, 12, replace=False)
+        hits = sorted((-float(rng.random()), int(r) + 1000, int(r) * 5 + 1) for r in rests)
+        lists.append((s, 1024 - room[s], hits))
+    df = spark.createDataFrame(lists, "seed long, seed_length long, hits array<struct<neg: float, rest: long, length: long>>")
+    one, two = ([(r.strand, r.pos, r.rest) for r in bm25_pack.take_neighbours(df, 1024, n).collect()] for n in (1, 2))
+    for got in (one, two):
+        assert len({r for *_, r in got}) == len(got)
+        for s in room:
+            assert sum((r - 1000) * 5 + 1 for t, _, r in got if t == s) <= room[s]
+    assert set(one) < set(two)
+    best = {}  # of those it fits, a rest goes to the seed it scores best with
+    for s, _, hits in lists:
+        for neg, r, length in hits:
+            if length <= room[s]:
+                best[r] = min(best.get(r, (0.0, 0)), (neg, s))
+    assert all(best[r][1] == s for s, _, r in one)
+
+
 def test_shards(docs, corpus, empty, spark):
     rows = range_shards.shard(docs, shards=8).collect()
     assert len(rows) == len(corpus)
