@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from renewlens.llm import textbatch as tb
+from renewlens.sources.store import stage
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -121,14 +122,16 @@ class Search:
                     yield lo + row, kept
 
 
-def _blocks(items: DataFrame, k: int, threshold: float) -> Iterator[tuple[Search, list]]:
-    """The items in blocks of bounded text, one after another."""
+def _blocks(items: DataFrame, k: int, threshold: float) -> Iterator[tuple[Search, list, bool]]:
+    """The items in blocks of bounded text, one after another, and whether
+    others follow or came before: the driver holds one block at a time, as
+    long as what is made with it is written before the next is asked for."""
     items = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     n = max(1, math.ceil(chars / BLOCK_CHARS))
     for b in range(n):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).collect()
-        yield Search([r["text"] for r in rows], k, threshold), [r["item_id"] for r in rows]
+        yield Search([r["text"] for r in rows], k, threshold), [r["item_id"] for r in rows], n > 1
 
 
 def contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE) -> DataFrame:
@@ -141,7 +144,7 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, k
     empty table.
     """
     out = None
-    for search, ids in _blocks(items, k, threshold):
+    for search, ids, several in _blocks(items, k, threshold):
 
         def run(batches: Iterator[pa.RecordBatch], search: Search = search, ids: list = ids) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -153,14 +156,16 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, k
 
         part = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
             run, "doc_id long, item_id long, n_shared long, n_item long, containment double")
+        part = stage(part, "containment-block") if several else part
         out = part if out is None else out.unionByName(part)
     return out
 
 
 def without_contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE) -> DataFrame:
     """``docs`` without the documents that contain an item, columns as they
-    came; nothing is shuffled."""
-    for search, _ in _blocks(items, k, threshold):
+    came; nothing is shuffled. Items in several blocks cost a pass over the
+    documents each, the later ones over those that are left."""
+    for search, _, several in _blocks(items, k, threshold):
 
         def run(batches: Iterator[pa.RecordBatch], search: Search = search) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -169,6 +174,7 @@ def without_contained(docs: DataFrame, items: DataFrame, threshold: float = THRE
                 yield batch.filter(pa.array(clean))
 
         docs = docs.mapInArrow(run, docs.schema)
+        docs = stage(docs, "containment-left") if several else docs
     return docs
 
 

@@ -247,3 +247,20 @@ def test_partition_windows_hold_an_item(size):
     for at in (0, 1, 7, 333, 999):
         doc = rng.integers(0, 2**63, 1000).astype(np.uint64)
         assert p.candidates(np.concatenate([doc[:at], item, doc[at:]])) == {0}
+
+
+def test_containment_in_several_blocks_equals_one(spark, docs, corpus, monkeypatch):
+    texts = [t for _, t, *_ in corpus if t and len(t.split()) > 60]
+    items = [(j, " ".join(t.split()[10:10 + 8 + 3 * j])) for j, t in enumerate(texts[:12])] + [(3, " ".join(texts[3].split()[10:27])), (50, "in none of the texts at all"), (51, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    cols = ["doc_id", "item_id", "n_shared", "n_item"]
+    one = sorted(map(tuple, containment.contained(docs, bench).select(*cols).collect()), key=str)
+    left = sorted(map(str, containment.without_contained(docs, bench).collect()))
+    made = []
+    search = containment.Search
+    monkeypatch.setattr(containment, "Search", lambda texts, *a: made.append(len(texts)) or search(texts, *a))
+    monkeypatch.setattr(containment, "BLOCK_CHARS", 300)
+    assert sorted(map(tuple, containment.contained(docs, bench).select(*cols).collect()), key=str) == one
+    assert len(made) > 2 and sum(made) == 14 and {r[1] for r in one} >= set(range(12))
+    assert sorted(map(str, containment.without_contained(docs, bench).collect())) == left
+    assert 0 < len(left) < docs.count()
