@@ -776,6 +776,13 @@ SELECT onefourth_cutoff_date, count(DISTINCT opportunity_id) AS cnt FROM base_ro
     q["feature_counts"] = feats + """
 SELECT count(*) AS n_rows, count(DISTINCT seller_uuid) AS sellers, count(DISTINCT opportunity_id) AS distinct_opportunities
 FROM features_latest"""
+    package, owner = "(seller_uuid, opportunity_id)", "(account_owner_id, opportunity_id)"
+    tables = {
+        "base": (f"(SELECT DISTINCT {_IDENTITY}, rate_price, sales_price, account_owner_id FROM base_rows WHERE city IS NOT NULL)", "(seller_uuid, account_owner_id, opportunity_id)"),
+        "med": ("city_medians", package), "slots": ("slots", package), "prior": ("prior", package), "lf": ("lead_features", package),
+        "comp": ("competitors", package), "tick": ("ticket_counts", package), "own": ("owner_exp", owner)}
+    q["builder_grain"] = feats + "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS builder, count(*) AS n_rows, count(*) - count(DISTINCT {key}) AS n_repeated FROM {table}" for name, (table, key) in tables.items())
     q["cutoff_range"] = feats + """
 SELECT min(onefourth_cutoff_date) AS min_cutoff_date, max(onefourth_cutoff_date) AS max_cutoff_date FROM features_latest"""
     q["top_packages"] = feats + """

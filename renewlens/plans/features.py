@@ -14,7 +14,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from renewlens import params as P
@@ -803,7 +803,11 @@ def _same_keys(on: list[str]):
     return lambda x: reduce(lambda a, b: a & b, [x[k] == F.col(f"__base_{k}") for k in on])
 
 
-def merge_by_package(base: DataFrame, frames: dict[str, DataFrame]) -> DataFrame:
+def _keys_of(on: list[str]):
+    return lambda x: F.struct(*[x[k] for k in on])
+
+
+def merge_by_package(base: DataFrame, frames: dict[str, DataFrame], grain: Observation | None = None) -> DataFrame:
     """``base`` LEFT JOINed with every frame on opportunity_id and whichever of
     seller_uuid / account_owner_id the frame has (J10), in one shuffle.
 
@@ -811,6 +815,9 @@ def merge_by_package(base: DataFrame, frames: dict[str, DataFrame]) -> DataFrame
     package once; a base row then picks its match out of each frame's rows of
     that package. Rows that match several of a frame come out once for each, as
     from a join. Base rows without opportunity_id match nothing.
+
+    ``grain`` observes, in the same pass, the rows of every frame and how many
+    of them repeat the keys of another (Q3, Q-12): see ``grain_report``.
     """
     tables = {"__base": base, **frames}
     cols = {name: df.columns for name, df in tables.items()}
@@ -821,6 +828,10 @@ def merge_by_package(base: DataFrame, frames: dict[str, DataFrame]) -> DataFrame
         union = part if union is None else union.unionByName(part)
     grouped = union.groupBy("opportunity_id").agg(*[F.collect_list(t).alias(t) for t in tables])
     keys = ("opportunity_id", "seller_uuid", "account_owner_id")
+    if grain is not None:
+        seen = {t: F.transform(t, _keys_of([k for k in keys if k in cols[t]])) for t in tables}
+        grouped = grouped.observe(grain, *[m for t, found in seen.items() for m in (
+            F.sum(F.size(t)).alias(f"{t}_rows"), F.sum(F.size(t) - F.size(F.array_distinct(found))).alias(f"{t}_repeated"))])
     done = [f"__base_{c}" for c in cols["__base"]]
     out = grouped.select(*frames, F.inline("__base").alias(*done))
     for t in frames:
@@ -834,12 +845,22 @@ def merge_by_package(base: DataFrame, frames: dict[str, DataFrame]) -> DataFrame
         *[F.col(f"__{t}_{c}").alias(c) for t in frames for c in cols[t] if c not in keys])
 
 
+def grain_report(spark: SparkSession, grain: Observation) -> DataFrame:
+    """(builder, n_rows, n_repeated) of a ``merge_by_package`` that ran: one row
+    per builder; a repeated row multiplies what it is merged with."""
+    got = grain.get
+    names = [k.removesuffix("_rows") for k in got if k.endswith("_rows")]
+    rows = [(t.removeprefix("__"), got[f"{t}_rows"] or 0, got[f"{t}_repeated"] or 0) for t in names]
+    return spark.createDataFrame(rows, "builder string, n_rows long, n_repeated long")
+
+
 def feature_table(
     src,
     p: P.FeatureParams = P.FeatureParams(),
     base: DataFrame | None = None,
     leads: DataFrame | None = None,
     daily: DataFrame | None = None,
+    grain: Observation | None = None,
 ) -> DataFrame:
     """The 65-column per-package feature table (``features_latest``).
 
@@ -870,7 +891,7 @@ def feature_table(
     ).dropDuplicates()
     sbd = sbd.withColumn("__cut_month", F.month("onefourth_cutoff_date"))
     frames = {"med": med, "slots": slots, "prior": prior, "lf": lf, "comp": comp, "tick": tick, "own": own}
-    j = merge_by_package(sbd.join(cm, ["city", month], "left"), frames)
+    j = merge_by_package(sbd.join(cm, ["city", month], "left"), frames, grain)
     slots_c = F.col("count_slots_pkg")
     derived = {
         "seller_previous_renewal_pct": F.when(F.col("seller_tot_packages_previous") == 0, F.lit(0.0)).otherwise(

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from renewlens import params as P
@@ -80,7 +80,9 @@ def daily_run(spark: SparkSession, src, root: str, p: P.FeatureParams = P.Featur
     """Build, store, score and recommend for one run date under ``root``.
 
     Returns the table paths. ``append_history=True`` gives the notebook's
-    plain append (duplicates on rerun); the default replaces the run date.
+    plain append (duplicates on rerun); the default replaces the run date. The
+    grain of every builder, observed while the features are written, is stored
+    beside them.
     """
     from renewlens.plans import features as C
     from renewlens.plans import recommend as R
@@ -89,12 +91,16 @@ def daily_run(spark: SparkSession, src, root: str, p: P.FeatureParams = P.Featur
     root = root.rstrip("/")
     paths = {
         "features_repository": f"{root}/features_repository",
+        "grain_report": f"{root}/grain_report",
         "prediction_latest": f"{root}/prediction_reco_latest",
         "prediction_history": f"{root}/prediction_reco_historical",
     }
-    ft = C.feature_table(src, p)
+    grain = Observation("grain")
+    ft = C.feature_table(src, p, grain=grain)
     repository = store.DatedStore(spark, paths["features_repository"])
     repository.write(ft, p.as_of)
+    report = C.grain_report(spark, grain).withColumn("feature_creation_date", F.lit(p.as_of))
+    store.write_dated(report, paths["grain_report"], "feature_creation_date", p.as_of)
     latest = repository.read().filter(F.col("feature_creation_date") == F.lit(p.as_of))
     model = S.synthetic_model() if model is None else model
     scored = S.score_linear(S.scoring_set(latest), model)

@@ -193,6 +193,16 @@ def q_cutoff_range(spark, sf_dir):
     return M.cutoff_range(C.feature_table(_src(spark, sf_dir), FP))
 
 
+def q_builder_grain(spark, sf_dir):
+    """Q3, Q-12: rows and repeated keys of every builder, observed while the
+    feature table is written."""
+    from pyspark.sql import Observation
+
+    grain = Observation("builder_grain")
+    stage(C.feature_table(_src(spark, sf_dir), FP, grain=grain), "features_latest")
+    return C.grain_report(spark, grain)
+
+
 def q_top_packages(spark, sf_dir):
     from renewlens.plans import monitor as M
 
@@ -408,6 +418,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lead_channel_bucket": q_lead_channel_bucket,
         "packages_per_cutoff": q_packages_per_cutoff,
         "feature_counts": q_feature_counts,
+        "builder_grain": q_builder_grain,
         "cutoff_range": q_cutoff_range,
         "top_packages": q_top_packages,
         "feature_repository": q_feature_repository,

@@ -7,11 +7,12 @@ import random
 import statistics
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from renewlens.operators.joins import count_dominated
 from renewlens.operators.medians import _selected, exact_median, sliding_medians
-from renewlens.plans.features import merge_by_package
+from renewlens.plans.features import grain_report, merge_by_package
 
 D0 = dt.date(2024, 1, 1)
 
@@ -100,3 +101,14 @@ def test_merge_by_package_equals_the_joins(spark):
     assert sorted(map(tuple, got.select(*cols).collect()), key=str) == sorted(map(tuple, want.select(*cols).collect()), key=str)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_merge_reports_repeated_keys_by_builder(spark):
+    base = spark.createDataFrame([(1, "s", 5), (2, "s", 6)], "opportunity_id long, seller_uuid string, x int")
+    one = spark.createDataFrame([("s", 1, 10), ("s", 1, 11), ("t", 1, 12), (None, None, 1), (None, None, 2)], "seller_uuid string, opportunity_id long, y int")
+    two = spark.createDataFrame([("s", 1, 10), ("s", 2, 10)], "seller_uuid string, opportunity_id long, z int")
+    for frame, repeated in ((one, 2), (one.limit(0), 0)):
+        grain = Observation("merge")
+        assert merge_by_package(base, {"one": frame, "two": two}, grain).count() >= 2
+        got = {r.builder: (r.n_rows, r.n_repeated) for r in grain_report(spark, grain).collect()}
+        assert got == {"base": (2, 0), "one": (frame.count(), repeated), "two": (2, 0)}
