@@ -148,5 +148,5 @@ class LeadState:
         """The 65 columns as of ``day``, leads and city days out of the state."""
         p = replace(self.p, as_of=day)
         plc = stage(self.raw_leads(day), "state-leads")
-        leads = stage(C.impute_prices(plc, distinct=False), "lead_base")
+        leads = C.impute_prices(plc, distinct=False)
         return C.feature_table(src, p, leads=leads, daily=self.city_daily(day, plc))
