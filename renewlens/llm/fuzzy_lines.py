@@ -85,9 +85,14 @@ def shingle_sets(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nd
     if isinstance(column, pa.ChunkedArray):
         column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.string())
     for lo, hi, items, offsets in char_shingles(column):
-        sets = [np.unique(items[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-        flat = np.concatenate(sets or [np.empty(0, np.uint64)])
-        yield lo, hi, flat, np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int64), np.ones(len(flat), dtype=bool)
+        new = np.ones(len(items), dtype=bool)
+        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+            items[a:b].sort()
+        new[1:] = items[1:] != items[:-1]
+        new[offsets[:-1][np.diff(offsets) > 0]] = True
+        ends = np.concatenate([[0], np.cumsum(new)])[offsets].astype(np.int64)
+        flat = items[new]
+        yield lo, hi, flat, ends, np.ones(len(flat), dtype=bool)
 
 
 def jaccard(a: np.ndarray, _a: np.ndarray, b: np.ndarray, _b: np.ndarray, threshold: float = THRESHOLD) -> float:
@@ -132,6 +137,47 @@ def band_keys(items: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return keys, sizes
 
 
+def odd_sketches(items: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(words, offsets) of the odd sketch of each row's different shingles: one
+    bit for each part of hash space, set where that holds an odd number of
+    them. A row of [2^c, 2^(c+1)) shingles has 2^(c+1) bits, 64 at least."""
+    counts = np.diff(offsets)
+    width = np.ones(len(counts), np.int64)
+    for c in range(6, 63):
+        if not (counts >> c).any():
+            break
+        width[counts >> c > 0] = 1 << (c - 5)
+    begins = np.concatenate([[0], np.cumsum(width)])
+    bits = (items & np.repeat(64 * width - 1, counts).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(np.repeat(64 * begins[:-1], counts) + bits, minlength=64 * begins[-1]) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<u8"), begins
+
+
+def sketches(texts: DataFrame) -> DataFrame:
+    """(node, size, odd) of (node, text): its different shingles and their odd sketch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, items, offsets, _ in shingle_sets(batch.column("text")):
+                words, begins = odd_sketches(items, offsets)
+                lists = pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(words.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column("node").slice(lo, hi - lo), pa.array(np.diff(offsets), pa.int64()), lists], ["node", "size", "odd"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, size long, odd array<long>")
+
+
+def may_link(pairs: DataFrame, sketched: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The pairs (a, b) whose odd sketches allow a Jaccard index of
+    ``threshold``. Every bit in which two sketches differ stands for a shingle that
+    one set alone holds, so no pair that reaches it is left out."""
+    wide = pairs.join(sketched.toDF("a", "sa", "oa"), "a").join(sketched.toDF("b", "sb", "ob"), "b")
+    # the longer sketch is folded to the length of the shorter one
+    fold = "transform(sequence(1, size({s})), i -> aggregate(transform(sequence(0, size({l}) div size({s}) - 1), j -> {l}[int(i - 1 + j * size({s}))]), 0L, (x, y) -> x ^ y))"
+    x, y = (f"if(size({a}) > size({b}), {fold.format(s=b, l=a)}, {a})" for a, b in (("oa", "ob"), ("ob", "oa")))
+    apart = F.expr(f"aggregate(zip_with({x}, {y}, (x, y) -> bit_count(x ^ y)), 0, (n, d) -> n + d)")
+    return wide.where(apart <= (1 - threshold) / (1 + threshold) * (F.col("sa") + F.col("sb")) + 1e-6).select("a", "b")
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, pos, line, node) of the lines that take part."""
     split = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
@@ -169,6 +215,11 @@ def signatures(lines: DataFrame) -> DataFrame:
     return lines.select("node", "line").mapInArrow(run, "node long, size long, keys array<long>")
 
 
+def _texts_of(texts: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
+    """``texts`` (node, text) of ``nodes``, and by chance a few more."""
+    return sieved(texts, "node", stage(nodes, name), f"{name}-sieve").where("__maybe").select("node", "text")
+
+
 def line_links(lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Links (a, b) between different lines of (node, line, any others)."""
     with StageScope(lines.sparkSession) as scope:
@@ -194,9 +245,12 @@ def line_links(lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         near = sieved(lines.select("node", "line"), "node", wanted, "lines-sieve").where("__maybe")
         texts = stage(near.select("node", F.col("line").alias("text")).dropDuplicates(["node"]).join(wanted, "node", "left_semi"), "lines-texts")
         score = partial(jaccard, threshold=threshold)
-        links = stage(verify_pairs(pairs, texts, shingle_sets, score), "lines-links")
+        # most candidates are far apart: no text is fetched for what the sketches tell
+        pairs = stage(may_link(pairs, stage(sketches(texts), "lines-odd"), threshold), "lines-likely")
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        links = stage(verify_pairs(pairs, _texts_of(texts, ends, "lines-ends"), shingle_sets, score), "lines-links")
         members = stage(unsettled(crowded, connected_components(links, name="lines-star")), "lines-open")
-        more = compare_families(members, texts, shingle_sets, score, threshold)
+        more = compare_families(members, _texts_of(texts, members.select("node").distinct(), "lines-rest"), shingle_sets, score, threshold)
         return scope.keep(links.unionByName(more).select("a", "b").distinct(), "lines-all")
 
 

@@ -49,6 +49,8 @@ TUPLE = 3
 _OFFER = 16
 #: Texts in one block of an unsettled family.
 BLOCK = 512
+#: Shared items counted at once between two blocks.
+_HITS = 1 << 20
 
 
 def labelled_shingles(column: pa.Array, k: int = SHINGLE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -216,15 +218,23 @@ def _overlaps(a: list[np.ndarray], b: list[np.ndarray], threshold: float) -> np.
     owner, end = owner[order], np.append(begin[1:], len(items))
     sizes = np.array([len(x) for x in b])
     out = np.zeros((len(a), len(b)), dtype=bool)
-    for i, x in enumerate(a):
-        if not len(x) or not len(terms):
-            continue
-        at = np.minimum(np.searchsorted(terms, x), len(terms) - 1)
-        at = at[terms[at] == x]
-        lens = end[at] - begin[at]
-        where = np.arange(lens.sum()) + np.repeat(begin[at] - np.cumsum(lens) + lens, lens)
-        shared = np.bincount(owner[where], minlength=len(b))
-        out[i] = shared >= threshold / (1 + threshold) * (len(x) + sizes) - 1e-9
+    if not len(terms):
+        return out
+    counts = np.array([len(x) for x in a], np.int64)
+    item = np.concatenate(a)
+    at = np.minimum(np.searchsorted(terms, item), len(terms) - 1)
+    lens = np.where(terms[at] == item, end[at] - begin[at], 0)
+    last = np.cumsum(counts)
+    # rows of a in runs of bounded size: each hit is a count for (row of a, row of b)
+    hits = np.concatenate([[0], np.cumsum(lens)])[np.concatenate([[0], last])] + np.arange(len(a) + 1) * len(b)
+    for lo, hi in tb.doc_ranges(hits, _HITS):
+        s = slice(last[lo] - counts[lo], last[hi - 1])
+        n = lens[s]
+        where = np.arange(n.sum()) + np.repeat(begin[at[s]] - np.cumsum(n) + n, n)
+        row = np.repeat(np.repeat(np.arange(hi - lo), counts[lo:hi]), n)
+        shared = np.bincount(row * len(b) + owner[where], minlength=(hi - lo) * len(b)).reshape(hi - lo, len(b))
+        enough = shared >= threshold / (1 + threshold) * (counts[lo:hi, None] + sizes) - 1e-9
+        out[lo:hi] = enough & (counts[lo:hi, None] > 0)
     return out
 
 
@@ -240,7 +250,8 @@ def _near_in_blocks(table: pa.Table, reader: Callable, score: Callable, threshol
     near = np.zeros((len(x), len(y)), dtype=bool)
     if len(x) and len(y):
         near |= _overlaps([seqs[i][0] for i in x], [seqs[j][0] for j in y], threshold)
-        near |= _overlaps([seqs[i][0][seqs[i][1]] for i in x], [seqs[j][0][seqs[j][1]] for j in y], threshold)
+        if not all(first.all() for _, first in seqs):
+            near |= _overlaps([seqs[i][0][seqs[i][1]] for i in x], [seqs[j][0][seqs[j][1]] for j in y], threshold)
         if apart:
             near &= label[x][:, None] != label[y][None, :]
         if lo == hi:

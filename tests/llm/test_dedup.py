@@ -178,6 +178,43 @@ def test_fuzzy_lines_empty(empty):
     assert fuzzy_lines.dedup_lines(empty).count() == 0
 
 
+def test_sketches_leave_no_link_out(spark):
+    """Pairs at the threshold pass, also between sketches of two lengths; far ones are told without their texts."""
+    rng = random.Random(8)
+    texts, near, far = [], [], []
+    for size in (3, 9, 40, 60, 64, 70, 127, 130, 300, 520, 1400):
+        for _ in range(12):
+            x = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz   ") for _ in range(size))
+            cuts = [x[: size - size // 9] + "Z" * min(size // 9, 1), x + x[: size // 5][::-1], x[:-1] + "0", x[: size // 2] + x[: size // 2 - 1 : -1]]
+            texts += [x, *cuts]
+    sets = [{x[k : k + 5] for k in range(max(len(x) - 4, 1))} for x in texts]
+    for i in range(0, len(texts), 5):
+        for a, b in combinations(range(i, i + 5), 2):
+            index = len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+            if index >= 0.8:
+                near.append((a, b))
+            elif index < 0.6 and min(len(sets[a]), len(sets[b])) > 100:
+                far.append((a, b))
+    rows = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    sketched = stage(fuzzy_lines.sketches(rows), "t")
+    assert {r.node: r["size"] for r in sketched.collect()} == {i: len(x) for i, x in enumerate(sets)}
+    wide = {r.node: len(r.odd) for r in sketched.collect()}
+    assert sum(wide[a] != wide[b] for a, b in near) > 5 and len(far) > 100
+    got = {tuple(r) for r in fuzzy_lines.may_link(spark.createDataFrame(near + far, "a long, b long"), sketched).collect()}
+    assert set(near) <= got and len(got & set(far)) < len(far) / 20
+
+
+def test_overlaps_of_any_block_size(monkeypatch):
+    """Counted in runs of rows or all at once, against sets."""
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 60, n)).astype(np.uint64) for n in [0, *rng.integers(1, 60, 40)]]
+    a, b = sets[:25], sets[15:]
+    want = [[len(x) > 0 and len(np.intersect1d(x, y)) >= 0.6 * len(np.union1d(x, y)) for y in b] for x in a]
+    for hits in (1, 300, 1 << 20):
+        monkeypatch.setattr(omh, "_HITS", hits)
+        assert omh._overlaps(a, b, 0.6).tolist() == want
+
+
 def test_char_shingles_count_code_points():
     (_, _, items, offsets), = fuzzy_lines.char_shingles(pa.array(["añb漢c😀d", "abc", "", None]))
     assert np.diff(offsets).tolist() == [3, 1, 0, 0] and len(items) == 4
