@@ -9,7 +9,8 @@ link is missed with probability (1 - 0.8^4)^16 = 2e-4 at the threshold and
 1e-5 at an index of 0.85. Sets that reach 0.8 are of similar size, so buckets
 are split by size class (a power of two; sets little below the next one stand
 in both), and pairs are held against their exact sizes before any text is
-fetched. A crowded bucket is handled as in ``buckets``. Links become components by distributed
+fetched, and against sketches of odd counts, an exact bound, before the texts of
+a pair meet. A crowded bucket is handled as in ``buckets``. Links become components by distributed
 connected components, and one line of each stays: its first occurrence by
 document id, text hash and position.
 
