@@ -264,25 +264,33 @@ def _near_in_blocks(table: pa.Table, reader: Callable, score: Callable, threshol
     return rows
 
 
-def _blocks(members: DataFrame, texts: DataFrame) -> GroupedData:
-    """Pairs of blocks of the families of (pivot, node, label), with texts."""
+def blocked_families(members: DataFrame, rows: DataFrame, only: DataFrame | None = None) -> DataFrame:
+    """Pairs of blocks (pivot, lo, hi) of the families of (pivot, node, label),
+    or those of them in ``only``, with the columns of ``rows`` (node, others)."""
     sizes = members.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     blocked = members.join(sizes, "pivot").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    wide = blocked.join(texts, "node").withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
-        "pivot", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "label", "text")
-    return wide.groupBy("pivot", "lo", "hi")
+    pair = ["pivot", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "label"]
+    every = F.explode(F.expr("sequence(0, blocks - 1)"))
+    if only is None:
+        return blocked.join(rows, "node").withColumn("other", every).select(*pair, *[c for c in rows.columns if c != "node"])
+    return blocked.withColumn("other", every).select(*pair).join(only, ["pivot", "lo", "hi"], "left_semi").join(rows, "node")
 
 
-def compare_families(members: DataFrame, texts: DataFrame, reader: Callable, score: Callable, threshold: float) -> DataFrame:
+def _blocks(members: DataFrame, texts: DataFrame, only: DataFrame | None = None) -> GroupedData:
+    """``blocked_families`` with texts, by pairs of blocks."""
+    return blocked_families(members, texts, only).groupBy("pivot", "lo", "hi")
+
+
+def compare_families(members: DataFrame, texts: DataFrame, reader: Callable, score: Callable, threshold: float, only: DataFrame | None = None) -> DataFrame:
     """Links (a, b, similarity) between nodes (pivot, node, label) of one pivot
-    and different labels, by blocks."""
+    and different labels, by blocks (all pairs of blocks, or those in ``only``)."""
 
     def compare(table: pa.Table) -> pa.Table:
         rows = _near_in_blocks(table, reader, score, threshold, True)
         a, b, s = zip(*rows, strict=True) if rows else ([], [], [])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "similarity": pa.array(s, pa.float64())})
 
-    return _blocks(members, texts).applyInArrow(compare, "a long, b long, similarity double")
+    return _blocks(members, texts, only).applyInArrow(compare, "a long, b long, similarity double")
 
 
 def count_links(members: DataFrame, texts: DataFrame, reader: Callable, score: Callable, threshold: float) -> DataFrame:

@@ -204,6 +204,68 @@ def test_sketches_leave_no_link_out(spark):
     assert set(near) <= got and len(got & set(far)) < len(far) / 20
 
 
+def test_lines_alike_by_chance_rarely_meet():
+    """Half-alike lines (an index near 0.3) are few among the pairs with a band in common."""
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(60)]
+    x = [[rng.choice(words) for _ in range(24)] for _ in range(1500)]
+    y = [line[:12] + [rng.choice(words) for _ in range(12)] for line in x]
+    sets = [[{t[k : k + 5] for k in range(len(t) - 4)} for t in map(" ".join, z)] for z in (x, y)]
+    assert 0.25 < np.mean([len(a & b) / len(a | b) for a, b in zip(*sets, strict=True)]) < 0.5
+    kx, ky = (np.concatenate([fuzzy_lines.band_keys(i, o)[0] for _, _, i, o in fuzzy_lines.char_shingles(pa.array([" ".join(t) for t in z]))]) for z in (x, y))
+    assert (kx == ky).any(axis=1).mean() < 0.25
+
+
+def test_families_are_told_by_sketches(spark, monkeypatch):
+    """Every near pair of different labels within a pivot is left, or its blocks are, also
+    over batches, blocks and runs of pairs."""
+    rng = random.Random(9)
+    texts, members = [], []
+    for f in range(7):
+        base = "".join(rng.choice("abcdefghij  ") for _ in range(rng.choice((30, 70, 400))))
+        for j in range(3 + 6 * f):
+            at = rng.randrange(len(base))
+            texts.append(base[:at] + "Z" * rng.choice((1, 1, len(base) // 3)) + base[at + 1 :])
+            members += [(f % 5, len(texts) - 1, j % 4)] + [(90 + f, len(texts) - 1, j)] * (f % 2)
+    sets = [{x[k : k + 5] for k in range(max(len(x) - 4, 1))} for x in texts]
+    want = {(a, b) for (p, a, x), (q, b, y) in combinations(members, 2) if p == q and x != y and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    rows = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    sketched = stage(fuzzy_lines.sketches(rows), "t")
+    table = spark.createDataFrame(members, "pivot long, node long, label long").repartition(3)
+    score = fuzzy_lines.jaccard
+    for left, pairs, words, block in ((1 << 20, 1 << 20, 1 << 21, 512), (1 << 20, 50, 64, 4), (1, 1 << 20, 1 << 21, 16), (0, 30, 1 << 21, 512)):
+        monkeypatch.setattr(fuzzy_lines, "_LEFT", left)
+        monkeypatch.setattr(fuzzy_lines, "_PAIRS", pairs)
+        monkeypatch.setattr(fuzzy_lines, "_WORDS", words)
+        monkeypatch.setattr(omh, "BLOCK", block)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+        try:
+            found = stage(fuzzy_lines.family_pairs(table, sketched), "t")
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        close, whole = found.where("a is not null").select("a", "b"), found.where("a is null").select("pivot", "lo", "hi")
+        got = {(r.a, r.b) for r in close.collect()}
+        assert all(a < b for a, b in got) and whole.count() == whole.distinct().count()
+        more = {(r.a, r.b) for r in omh.compare_families(table, rows, fuzzy_lines.shingle_sets, score, 0.8, whole).collect()}
+        assert len(want) > 100 and want <= got | more and more <= want
+        assert not whole.isEmpty() if left < 2 else not more
+        assert left or not got
+
+
+def test_texts_are_fetched_for_likely_pairs_only(spark, monkeypatch):
+    """Lines that share a long passage meet in bands, but sketches tell them apart."""
+    passage = " ".join(prose(5, 30))
+    rows = [(i, f"{passage} " + " ".join(prose(500 + i, 60))) for i in range(40)] + [(100 + i, " ".join(prose(70, 40)) + f" {i}") for i in range(3)]
+    lines = fuzzy_lines.lines_of(spark.createDataFrame(rows, "doc_id long, text string"))
+    fetched = []
+    real = fuzzy_lines._texts_of
+    monkeypatch.setattr(fuzzy_lines, "_texts_of", lambda *a: fetched.append(real(*a)) or (fetched.append(fetched.pop().localCheckpoint()) or fetched[-1]))
+    links = {(r.a, r.b) for r in fuzzy_lines.line_links(lines).collect()}
+    near = {r.node for r in lines.where("doc_id >= 100").collect()}
+    assert {x for p in links for x in p} == near
+    assert {r.node for t in fetched for r in t.collect()} == near
+
+
 def test_overlaps_of_any_block_size(monkeypatch):
     """Counted in runs of rows or all at once, against sets."""
     rng = np.random.default_rng(4)

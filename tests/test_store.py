@@ -66,3 +66,23 @@ def test_scope_frees_on_error_and_leaves_results_outside(spark):
         out = scope.keep(spark.range(4), "scope-d")
     assert out.count() == 4
     assert len(_folders(spark)) == 1
+
+
+def test_stage_leaves_no_shuffle_files(spark):
+    """They go with the write, not when the driver collects its garbage; the session's setting stays."""
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        blocks = files.getAllFiles().iterator()
+        out = set()
+        while blocks.hasNext():
+            name = blocks.next().getName()
+            if name.startswith("shuffle_"):
+                out.add(name)
+        return out
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = shuffles(), spark.conf.get(key)
+    out = stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "t")
+    assert not shuffles() - before and spark.conf.get(key) == was
+    assert sorted(r["count"] for r in out.collect()) == [142, 143, 143, 143, 143, 143, 143]
