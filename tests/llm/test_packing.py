@@ -157,6 +157,24 @@ def test_neighbours_of_all_seeds_through_the_whole_index(spark, monkeypatch):
     assert total > 1000 and hits / total >= 0.99
 
 
+def test_index_and_seeds_are_stored_once(spark, monkeypatch):
+    """However many blocks and shards meet; a tie between shards falls to the lower row."""
+    rests = _random_rests(500, 300, 7)
+    rests[400:430] = [rests[3]] * 30
+    _, df, mean = _brute(rests)
+    monkeypatch.setattr(bm25_pack, "SEED_BLOCK", 30)
+    monkeypatch.setattr(bm25_pack, "INDEX_SHARD", 40)
+    tables = {}
+    real = bm25_pack.stage
+    monkeypatch.setattr(bm25_pack, "stage", lambda t, name: tables.setdefault(name, real(t, name).localCheckpoint()))
+    index = spark.createDataFrame([(i, r.tobytes()) for i, r in enumerate(rests)], "row long, ids binary").orderBy(F.hash("row")).repartition(3)
+    got = {r.seed: [h.rest for h in r.hits] for r in bm25_pack.neighbours(index.where("row % 5 = 0"), index, df, 500, mean, k=10).collect()}
+    seeds, shards = (np.concatenate([np.frombuffer(r[0], "<i8") for r in tables[n].select(c).collect()]) for n, c in (("bm25-seeds", "q_row"), ("bm25-index", "x_row")))
+    assert sorted(seeds) == [*range(0, 500, 5)] and sorted(shards) == [*range(500)]
+    assert tables["bm25-seeds"].count() > 3 and tables["bm25-index"].count() > 12
+    assert got[425] == [3, *range(400, 409)] and got[400] == [3, *range(401, 410)]
+
+
 def test_tiles_in_chunks_and_batches(monkeypatch):
     rests = _random_rests(700, 500, 5)
     want, df, mean = _brute(rests)
