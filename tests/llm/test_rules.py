@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 import re
 from collections import Counter
@@ -133,6 +134,25 @@ def test_quality_keeps_clean_and_drops_odd(spark, empty):
     assert fertility.quality(empty).count() == 0 and fertility.keep_good(empty).count() == 0
 
 
+def test_quality_keeps_rows_by_id_and_text(spark):
+    """Null ids and texts, repeated rows and ids; a text kept under one language stays under the other."""
+    good, bad = [" ".join(prose(i, 150)) for i in range(40)], "ab cd ef " * 60
+    rows = [(i, t, "xx") for i, t in enumerate(good)]
+    rows += [(None, good[0], "xx"), (None, bad, "xx"), (None, None, None), (7, bad, "xx"), (7, good[7], "xx"), (50, good[3], "xx"), (50, bad, None), (50, bad, "xx")]
+    got = Counter((r.doc_id, r.text) for r in fertility.keep_good(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)).collect())
+    assert got == Counter((i, t) for i, t, _ in rows if t not in (bad, None))
+
+
+def test_quality_stores_no_texts(spark):
+    docs = spark.createDataFrame([(i, " ".join(prose(i, 150)), "xx") for i in range(60)] + [(99, "short", "xx")], "doc_id long, text string, lang string")
+    root = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    before = set(os.listdir(root))
+    out = fertility.keep_good(docs)
+    assert out.count() == 60
+    for folder in set(os.listdir(root)) - before:
+        assert "text" not in spark.read.parquet(f"{root}/{folder}").columns
+
+
 PAGE = """<!DOCTYPE html><html><head><title>t</title><script>var a="</p>";</script></head><body class="has-sidebar"><nav><a href=x>Menu</a></nav>
 <div class="wrap with-sidebar"><article class="post-{n}"><h1>Title &amp; more</h1><p><b>First  para\n of it.<br><p>Second &lt;para&gt; {t}</p>
 <div class="ad">buy</div><aside>side</aside><form>f</form><ul><li>one<li>two</ul><section id="comments"><p>reader says</p></section></article></div>
